@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from satloom.llm import dedup, sharding
+from satloom.llm import dedup, mixing, packing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_packing": packing.op5,
     "op6_sharding": sharding.op6,
     "op7_exact_dedup": dedup.op7,
+    "op8_mixing": mixing.op8,
 }
 
 ORACLES: dict[str, str] = {
