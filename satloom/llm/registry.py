@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from satloom.llm import dedup, mixing, packing, sharding, simhash
+from satloom.llm import dedup, mixing, packing, secrets, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": packing.op5,
     "op6_sharding": sharding.op6,
     "op7_exact_dedup": dedup.op7,
     "op8_mixing": mixing.op8,
+    "op9_secrets": secrets.op9,
     "op10_simhash": simhash.op10,
 }
 
