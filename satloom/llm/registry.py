@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from satloom.llm import dedup, mixing, packing, secrets, sharding, simhash
+from satloom.llm import dedup, mixing, packing, pii, secrets, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": pii.op1,
     "op5_packing": packing.op5,
     "op6_sharding": sharding.op6,
     "op7_exact_dedup": dedup.op7,
