@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from satloom.llm import dedup, mixing, packing, pii, quality, secrets, sharding, simhash
+from satloom.llm import dedup, mixing, packing, pii, quality, secrets, sharding, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1,
     "op3_quality": quality.op3,
+    "op4_toxicity": toxicity.op4,
     "op5_packing": packing.op5,
     "op6_sharding": sharding.op6,
     "op7_exact_dedup": dedup.op7,
