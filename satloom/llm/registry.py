@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from satloom.llm import dedup, mixing, packing, pii, quality, secrets, sharding, simhash, toxicity
+from satloom.llm import dedup, mixing, packing, pii, quality, secrets, sharding, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1,
+    "op2_warc": warc.op2,
     "op3_quality": quality.op3,
     "op4_toxicity": toxicity.op4,
     "op5_packing": packing.op5,
