@@ -25,7 +25,7 @@ def rendezvous(key: Column, shards: int, seed: int) -> tuple[Column, Column]:
     return best["s"], F.greatest(best, tickets[-1])["s"]
 
 
-def shuffled_shards(docs: DataFrame, shards: int = 40, seed: int = 11, bucket_mb: int = 16, path: str | None = None) -> DataFrame:
+def shuffled_shards(docs: DataFrame, shards: int = 40, seed: int = 11, bucket_mb: float = 16, path: str | None = None) -> DataFrame:
     """``docs`` written to ``path`` in shards, and read again: doc_id, text, shard, slot, grown_shard.
 
     Law ``key``: doc_id and the number of shards decide a row's shard; grown_shard is its shard if there were one more. A null
@@ -37,7 +37,7 @@ def shuffled_shards(docs: DataFrame, shards: int = 40, seed: int = 11, bucket_mb
     path = path or f"{C.shared_dir(spark)}/shards"
     rows = C.pick(docs, "doc_id", "text")
     nbytes = rows.agg(F.sum(F.octet_length(C.whole()) + 16)).first()[0] or 0
-    buckets = max(1, math.ceil(nbytes / shards / (bucket_mb << 20)))
+    buckets = max(1, math.ceil(nbytes / shards / (bucket_mb * (1 << 20))))
     shard, grown = rendezvous(F.col("doc_id"), shards, seed)
     rows = rows.select("doc_id", "text", shard.alias("shard"), grown.alias("grown_shard"))
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", F.crc32(C.whole().cast("binary"))), F.lit(buckets)).cast("int"))
