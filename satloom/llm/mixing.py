@@ -1,9 +1,10 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
-Sizes are words. Each source is dealt by seeded hashes into cells of bounded size; a cell is a seeded order of its documents, cut
-into blocks of equal word counts. Sainte-Laguë's highest quotients give whole numbers of blocks to sources by their targets, and
-then to the cells of a source by their sizes. A cell with quota q of n blocks takes all blocks q div n times and the q mod n
-blocks from a seeded start on once more, going round; only documents at the ends of that run are taken in part.
+Sizes are words. Each source is dealt by seeded hashes into cells of bounded size; a cell is a ring of its documents in a seeded
+order, read in blocks of equal word counts. Sainte-Laguë's highest quotients give whole numbers of blocks to sources by their
+targets, and then to the cells of a source by their sizes. A cell reads its quota of blocks one after another, from a
+seeded block on and round the ring as often as it takes; only documents at the ends of that run are taken in part. A source
+whose target is all that it may give is taken whole.
 """
 
 from __future__ import annotations
@@ -23,16 +24,18 @@ from satloom.llm import common as C
 
 @dataclass(frozen=True)
 class Mix:
-    """share: words of the mix by words there are; repeats: most passes over a source; block: words; cell_words: aimed at in a cell.
+    """share: words of the mix by words there are; repeats: most passes over a source; block: words.
 
-    max_sources bounds the table of sources, which alone goes to the driver; more of them is an error.
+    cell_words: words aimed at in a cell; a source has at most max_cells of them, so that the cells of one source (not its documents) fit a
+    task, and cells grow beyond that only with sources of more than cell_words * max_cells words. max_sources bounds the table of sources, which alone goes to the driver; more of them is an error.
     """
 
     weights: tuple[int, ...] = (3, 1, 2)
     share: Fraction = Fraction(3, 2)
     repeats: int = 2
     block: int = 64
-    cell_words: int = 4_000_000
+    cell_words: int = 50_000
+    max_cells: int = 20_000
     seed: int = 23
     max_sources: int = 100_000
 
@@ -82,10 +85,8 @@ def _cell_quotas(block: int, repeats: int):
     def quotas(cells: pd.DataFrame) -> pd.DataFrame:
         cells = cells.sort_values("cell")
         sizes = [int(x) for x in cells["words"]]
-        blocks = [-(-x // block) for x in sizes]
-        cells["quota"] = sainte_lague(sizes, int(cells["seats"].iloc[0]), [repeats * b for b in blocks])
-        cells["blocks"] = blocks
-        return cells[["source_no", "cell", "quota", "blocks"]]
+        cells["quota"] = sainte_lague(sizes, int(cells["seats"].iloc[0]), [repeats * x // block for x in sizes])
+        return cells[["source_no", "cell", "quota", "words"]]
 
     return quotas
 
@@ -111,11 +112,10 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     sizes = [n for _, n in known]
     goal = targets(sizes, mix)
     block = max(1, min(mix.block, min([n for n in sizes if n] or [1]) // 200))
-    blocks = [-(-n // block) for n in sizes]
-    seats = sainte_lague(goal, round(sum(goal) / block), [mix.repeats * b for b in blocks])
+    seats = sainte_lague(goal, round(sum(goal) / block), [mix.repeats * n // block for n in sizes])
     table = spark.createDataFrame(
-        [(i, s, n, float(g), q, max(1, math.ceil(n / mix.cell_words))) for i, ((s, n), g, q) in enumerate(zip(known, goal, seats, strict=True))],
-        "source_no int, source string, source_size long, target double, seats long, cells int",
+        [(i, s, n, float(g), q, g == mix.repeats * n, min(mix.max_cells, max(1, math.ceil(n / mix.cell_words)))) for i, ((s, n), g, q) in enumerate(zip(known, goal, seats, strict=True))],
+        "source_no int, source string, source_size long, target double, seats long, whole boolean, cells int",
     )
     # Bounded by max_sources rows, and so sent whole to each task.
     rows = rows.join(F.broadcast(table), rows["source"].eqNullSafe(table["source"])).drop("source")
@@ -123,16 +123,17 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     rows = rows.withColumn("cell", F.pmod(F.xxhash64(F.lit(mix.seed + 1), "doc_id", "size"), "cells").cast("int"))
     cells = rows.groupBy("source_no", "cell").agg(F.sum("size").alias("words"), F.first("seats").alias("seats"))
     quotas = cells.groupBy("source_no").applyInPandas(
-        _cell_quotas(block, mix.repeats), "source_no int, cell int, quota long, blocks long"
+        _cell_quotas(block, mix.repeats), "source_no int, cell int, quota long, words long"
     )
     order = Window.partitionBy("source_no", "cell").orderBy("draw", "doc_id", "size", "rid").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("upto", F.sum("size").over(order)).join(quotas, ["source_no", "cell"])
+    run = F.col("quota") * block
+    some = ~F.col("whole") & (F.col("words") > 0)
     rows = rows.select(
-        "rid", "doc_id", "size", "source_size", "target",
-        F.when(F.col("blocks") > 0, F.floor(F.col("quota") / F.col("blocks"))).otherwise(0).cast("long").alias("passes"),
-        F.when(F.col("blocks") > 0, F.col("quota") % F.col("blocks")).otherwise(0).alias("extra"),
-        F.when(F.col("blocks") > 0, F.pmod(F.xxhash64(F.lit(mix.seed + 2), "source_no", "cell"), "blocks")).otherwise(0).alias("start"),
-        "blocks", (F.col("upto") - F.col("size")).alias("ahead"),
+        "rid", "doc_id", "size", "source_size", "target", "words", (F.col("upto") - F.col("size")).alias("ahead"),
+        F.when(F.col("whole"), mix.repeats).when(some, F.floor(run / F.col("words"))).otherwise(0).cast("long").alias("passes"),
+        F.when(some, run % F.col("words")).otherwise(0).alias("extra"),
+        F.when(some, block * F.pmod(F.xxhash64(F.lit(mix.seed + 2), "source_no", "cell"), F.ceil(F.col("words") / block))).otherwise(0).alias("start"),
     )
 
     def within(word: Column) -> Column:
@@ -142,10 +143,10 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     end = F.col("start") + F.col("extra")
     rows = rows.select(
         "*",
-        within(F.col("start") * block).alias("from_word"),
-        within(F.least(end, F.col("blocks")) * block).alias("to_word"),
+        within(F.col("start")).alias("from_word"),
+        within(F.least(end, F.col("words"))).alias("to_word"),
         F.lit(0).cast("long").alias("from_word2"),
-        within(F.greatest(end - F.col("blocks"), F.lit(0)) * block).alias("to_word2"),
+        within(F.greatest(end - F.col("words"), F.lit(0))).alias("to_word2"),
     )
     taken = F.col("passes") * F.col("size") + F.col("to_word") - F.col("from_word") + F.col("to_word2")
     return rows.select(

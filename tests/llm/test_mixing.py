@@ -1,0 +1,79 @@
+import random
+from fractions import Fraction
+
+from conftest import WORD  # type: ignore[import-not-found]
+
+from satloom.llm import common as C
+from satloom.llm import mixing as M
+
+AT = "/root/testdata/sf0.01"
+
+
+def brute_seats(votes, seats, caps):
+    got = [0] * len(votes)
+    for _ in range(min(seats, sum(caps))):
+        open_ = [i for i in range(len(votes)) if got[i] < caps[i]]
+        best = max(open_, key=lambda i: (Fraction(votes[i], 2 * got[i] + 1), -i))
+        got[best] += 1
+    return got
+
+
+def test_seats_are_those_of_the_highest_quotients():
+    rng = random.Random(9)
+    for _ in range(200):
+        n = rng.randint(1, 8)
+        votes = [rng.randint(1, 60) for _ in range(n)]
+        caps = [rng.randint(0, 40) for _ in range(n)]
+        seats = rng.randint(0, 120)
+        assert M.sainte_lague(votes, seats, caps) == brute_seats(votes, seats, caps), (votes, seats, caps)
+    assert M.sainte_lague([0, 0], 3, [5, 5]) == [0, 0] and M.sainte_lague([], 3, []) == []
+
+
+def test_targets_stop_at_twice_the_size_and_share_the_rest():
+    sizes = [100, 1000, 10, 500, 0]
+    found = M.targets(sizes, M.Mix())
+    assert sum(found) == Fraction(3, 2) * sum(sizes) and all(t <= 2 * s for t, s in zip(found, sizes, strict=True))
+    weigh = [3, 1, 2, 3, 1]
+    free = {t / w for t, s, w in zip(found, sizes, weigh, strict=True) if t < 2 * s}
+    assert len(free) <= 1 and M.targets([], M.Mix()) == [] and M.targets([0, 0], M.Mix()) == [0, 0]
+
+
+def test_query_comes_near_its_targets(spark):
+    docs = {r["doc_id"]: (r["source"], len(WORD.findall(r["text"]))) for r in C.documents(spark, AT).collect()}
+    rows = M.op8(spark, AT).collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, M.op8(spark, AT).collect())) and len(rows) == len(docs)
+    taken, target, whole = {}, {}, {}
+    for r in rows:
+        source, size = docs[r["doc_id"]]
+        assert r["size"] == size and 0 <= r["taken"] <= 2 * size
+        taken[source] = taken.get(source, 0) + r["taken"]
+        whole[source] = whole.get(source, 0) + size
+        target[source] = r["target"]
+    names = sorted(whole)
+    want = M.targets([whole[s] for s in names], M.Mix())
+    for s, t in zip(names, want, strict=True):
+        assert target[s] == float(t) and abs(taken[s] - t) <= 0.005 * t
+
+
+def test_many_cells_still_come_near(spark):
+    rows = M.mixed(C.documents(spark, AT), M.Mix(cell_words=2000)).collect()
+    assert abs(sum(r["taken"] for r in rows) - 1.5 * sum(r["size"] for r in rows)) < 0.005 * sum(r["size"] for r in rows)
+    assert all(0 <= r["taken"] <= 2 * r["size"] for r in rows)
+
+
+def test_odd_and_empty_tables(odd, empty):
+    rows = M.mixed(odd).collect()
+    assert len(rows) == odd.count() and all(0 <= r["taken"] <= 2 * r["size"] for r in rows)
+    assert M.mixed(empty).count() == 0
+
+
+def test_stage_gives_the_words_taken(spark, tmp_path):
+    docs = C.documents(spark, AT)
+    plan = {r["doc_id"]: r["taken"] for r in M.op8(spark, AT).collect()}
+    got = {}
+    made = M.stage(spark, docs, AT)
+    assert made.columns == docs.columns
+    for r in made.collect():
+        assert r["n_chars"] == len(r["text"])
+        got[r["doc_id"]] = got.get(r["doc_id"], 0) + len(WORD.findall(r["text"]))
+    assert got == {d: n for d, n in plan.items() if n}
