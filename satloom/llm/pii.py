@@ -21,7 +21,7 @@ PATTERN = {
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     "card": r"[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9_])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 
@@ -181,3 +181,31 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(*BASE).cast("binary"), 256).alias("base_sha256"),
         listed(*KINDS).alias("spans"),
     )
+
+
+#: Text between matches and the matches in turn give each match its place.
+OP1_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+ k(rank, kind, pattern) AS (VALUES (0, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+'), (1, 'ip', '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'),
+  (2, 'card', '[0-9]([\x20-]?[0-9])+'), (3, 'phone', '\+[0-9][\x20().0-9-]+[0-9]'),
+  (4, 'iban', '\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b'), (5, 'ssn', '[0-9]{3}-[0-9]{2}-[0-9]{4}')),
+ m AS (SELECT r, rank, kind, t, regexp_extract_all(t, pattern) AS hits, string_split_regex(t, pattern) AS gaps FROM d, k),
+ s AS (SELECT r, rank, kind, t, generate_subscripts(hits, 1) AS i, unnest(hits) AS hit, unnest(gaps[1:len(hits)]) AS gap FROM m WHERE len(hits) > 0),
+ p AS (SELECT *, regexp_replace(hit, '[^0-9]', '', 'g') AS digits, sum(length(gap) + length(hit)) OVER (PARTITION BY r, rank ORDER BY i) AS e FROM s),
+ q AS (SELECT r, rank, kind, hit, digits, CAST(e - length(hit) AS BIGINT) AS a, CAST(e AS BIGINT) AS z, substr(t, CAST(e - length(hit) AS BIGINT), 1) AS before,
+   substr(t, CAST(e + 1 AS BIGINT), 1) AS after, gap[-40:] AS near,
+   list_sum(list_transform(range(length(digits)), lambda j: CASE WHEN j % 2 = 0 THEN CAST(substr(digits, length(digits) - j, 1) AS INT)
+    ELSE CAST(substr(digits, length(digits) - j, 1) AS INT) * 2 - CASE WHEN substr(digits, length(digits) - j, 1) >= '5' THEN 9 ELSE 0 END END)) AS luhn FROM p),
+ f AS (SELECT * FROM q WHERE CASE kind WHEN 'ip' THEN len(list_filter(string_split(hit, '.'), lambda x: length(ltrim(x, '0')) > 3 OR CAST('0' || right(ltrim(x, '0'), 3) AS INT) > 255)) = 0
+   WHEN 'card' THEN length(digits) BETWEEN 13 AND 19 AND luhn % 10 = 0 WHEN 'phone' THEN length(digits) BETWEEN 9 AND 15
+   WHEN 'iban' THEN 0.9 - CASE WHEN regexp_matches(near, '(?i)version|invoice|order no|example|sample|serial') THEN 0.35 ELSE 0 END
+     + CASE WHEN regexp_matches(near, '(?i)iban|bank|account|konto') THEN 0.35 ELSE 0 END >= 0.6 AND
+    list_reduce(list_prepend(0, list_transform(string_split(array_to_string(list_transform(string_split(substr(replace(hit, ' ', ''), 5) || substr(replace(hit, ' ', ''), 1, 4), ''),
+     lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN c ELSE CAST(ascii(c) - 55 AS VARCHAR) END), ''), ''), lambda c: CAST(c AS INT))), lambda x, y: (x * 10 + y) % 97) = 1
+   WHEN 'ssn' THEN NOT regexp_matches(before, '[0-9-]') AND NOT regexp_matches(after, '[0-9-]') AND NOT regexp_matches(hit, '^(?:000|666|9)|-00-|-0000$')
+    AND regexp_matches(near, '(?i)\bssn\b|social security') AND NOT regexp_matches(near, '(?i)version|invoice|order no|example|sample|serial') ELSE true END),
+ g AS (SELECT r, count(*) FILTER (WHERE rank = 0) AS n_email, count(*) FILTER (WHERE rank = 1) AS n_ip, count(*) FILTER (WHERE rank = 2) AS n_card, count(*) FILTER (WHERE rank = 3) AS n_phone,
+  string_agg(kind || ':' || a || ':' || z, ',' ORDER BY rank, a) FILTER (WHERE rank < 4) AS base, string_agg(kind || ':' || a || ':' || z, ',' ORDER BY rank, a) AS spans FROM f GROUP BY r)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256,
+ coalesce(spans, '') AS spans FROM d LEFT JOIN g ON g.r = d.r
+"""

@@ -22,5 +22,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_pii": pii.OP1_SQL,
+    "op2_warc": warc.OP2_SQL,
     "op7_exact_dedup": dedup.OP7_SQL,
+    "op9_secrets": secrets.OP9_SQL,
 }

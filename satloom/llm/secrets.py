@@ -119,3 +119,21 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(of(*BASE)).cast("binary"), 256).alias("base_sha256"),
         listed(F.col("secrets")).alias("spans"),
     )
+
+
+#: Text between matches and the matches in turn give each match its place.
+OP9_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+ k(rank, kind, pattern) AS (VALUES (0, 'assign', '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'),
+  (1, 'access', 'AKIA[A-Z0-9]+'), (2, 'hex', '[0-9a-f]+'), (3, 'github', 'gh[pousr]_[A-Za-z0-9]{36,}'), (4, 'slack', 'xox[abprs]-[0-9]{10,}(?:-[A-Za-z0-9]+)*'),
+  (5, 'stripe', '[sr]k_live_[A-Za-z0-9]{16,}'), (6, 'private_key', '-----BEGIN\x20[A-Z]*\x20?PRIVATE\x20KEY-----')),
+ m AS (SELECT r, rank, kind, pattern, regexp_extract_all(t, pattern) AS hits, string_split_regex(t, pattern) AS gaps FROM d, k),
+ s AS (SELECT r, rank, kind, pattern, generate_subscripts(hits, 1) AS i, unnest(hits) AS hit, unnest(gaps[1:len(hits)]) AS gap FROM m WHERE len(hits) > 0),
+ p AS (SELECT *, sum(length(gap) + length(hit)) OVER (PARTITION BY r, rank ORDER BY i) AS e FROM s),
+ f AS (SELECT r, rank, kind, CAST(e - length(hit) AS BIGINT) AS a, CAST(e AS BIGINT) AS z FROM p WHERE CASE kind WHEN 'assign' THEN length(regexp_extract(hit, pattern, 1)) >= 12
+  WHEN 'access' THEN length(hit) >= 18 WHEN 'hex' THEN length(hit) >= 16 ELSE true END),
+ g AS (SELECT r, count(*) FILTER (WHERE rank = 0) AS n_assign, count(*) FILTER (WHERE rank = 1) AS n_access, count(*) FILTER (WHERE rank = 2) AS n_hex,
+  string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, rank, z) FILTER (WHERE rank < 3) AS base, string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, rank, z) AS spans FROM f GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+ coalesce(spans, '') AS spans FROM d LEFT JOIN g ON g.r = d.r
+"""

@@ -311,3 +311,13 @@ def round_trip(pages: DataFrame, folder: str | None = None, limits: Limits = Lim
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+#: Base32 is written out in groups of 20 bits, four letters each.
+OP2_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+ d AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS x, row_number() OVER (PARTITION BY sha1(h) ORDER BY page_id NULLS LAST) AS n, first_value(page_id) OVER (PARTITION BY sha1(h) ORDER BY page_id NULLS LAST) AS f FROM p)
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([15, 10, 5, 0],
+ lambda b: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(((CAST('0x' || substr(x, 1 + 5 * CAST(i AS INT), 5) AS BIGINT) >> b) & 31) AS INT), 1)), '')), '') AS payload_digest,
+ CASE WHEN n = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN n > 1 THEN f END AS refers_to FROM d
+"""
