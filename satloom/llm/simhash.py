@@ -200,12 +200,13 @@ def forest(points: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for the nodes of ``edges`` that are not the least of their connected set; root is that least node.
 
-    Large-star and small-star steps in turn until nothing changes; each round is checkpointed in the shared folder. A node
-    with very many neighbours meets them as a minimum (partial aggregation) and in a join that can be split.
+    Large-star and small-star steps in turn until nothing changes; each step is checkpointed in the shared folder. A node
+    with very many neighbours meets them as a minimum (partial aggregation) and in a join that can be split: the minima are
+    checkpointed, so that both sides of the join are plain shuffles.
     """
 
     def stars(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = C.checkpointed(pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         return least, pairs.join(least, "u")
 
     now, before = C.checkpointed(edges.where("u <> v").distinct()), None
@@ -238,7 +239,9 @@ def near_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     edges = forest(points, points.count(), radius)
     stars = components(edges)
     named = points.join(stars.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
-    least = named.groupBy("root").agg(F.min("first").alias("first"))
+    # Both stored: the join on a root with very many fingerprints can be split then.
+    named = C.stored(named, f"{at}/rooted")
+    least = C.stored(named.groupBy("root").agg(F.min("first").alias("first")), f"{at}/least")
     named = C.stored(named.drop("first").join(least, "root").select("fp", F.col("first.doc_id").alias("component_id"), F.col("first.rid").alias("keep")), f"{at}/named")
     return rows.join(named, "fp").select("rid", "doc_id", "fp", "component_id", (F.col("rid") == F.col("keep")).alias("stays"))
 
