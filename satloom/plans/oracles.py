@@ -128,4 +128,8 @@ ORACLES: dict[str, str] = {
     "header_forward_fill": """SELECT conv_id, turn, md5(last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS header_md5 FROM conversations""",
     "column_majority_consensus": f"""WITH {ctes("loci")}, c AS (SELECT entry_id, period, generate_series AS k FROM (SELECT DISTINCT entry_id, period FROM loci), generate_series(0, 31))
  SELECT entry_id, period, CAST(count(*) FILTER (WHERE (k + period) % 11 <> 0) AS INT) AS consensus_length FROM c GROUP BY ALL""",
+    "infix_best_hit": f"""WITH {ctes("loci")}, d AS (SELECT DISTINCT consensus, translate(reverse(consensus), 'AC', 'CA') AS other FROM loci),
+ s AS (SELECT consensus, other, z, a, levenshtein(substr(consensus, 1, 21), substr(other || other, CAST(a + 1 AS INT), CAST(z - a AS INT))) AS x FROM d, range(0, 65) AS p(z), range(0, 65) AS q(a) WHERE a <= z),
+ b AS (SELECT *, row_number() OVER (PARTITION BY consensus, other ORDER BY x, z, a) AS n FROM s)
+ SELECT consensus, other, CAST(x AS INT) AS distance, CAST(a AS INT) AS start, CAST(z AS INT) AS "end" FROM b WHERE n = 1""",
 }
