@@ -13,7 +13,8 @@ def priority_mis(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
     A node wins once all its better neighbours have lost, and loses once one of them has won: the same outcome as taking nodes one
     by one in order. winner_id is the node itself, or the best winner next to it. Only undecided edges go on to the next
-    round; rounds are checkpointed. Edges to unknown nodes do not count, nor do loops.
+    round, which is checkpointed; whoever has lost by the end is known, all others have won. Edges to unknown nodes do not
+    count, nor do loops.
     """
     nodes = checkpointed(nodes.select("id", "prio"))
     a, b = nodes.select(F.col("id").alias("a"), F.col("prio").alias("pa")), nodes.select(F.col("id").alias("b"), F.col("prio").alias("pb"))
@@ -21,18 +22,14 @@ def priority_mis(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     worse = F.col("pa") > F.col("pb")
     down = known.select(F.when(worse, F.col("a")).otherwise(F.col("b")).alias("u"), F.when(worse, F.col("b")).otherwise(F.col("a")).alias("v"), F.least("pa", "pb").alias("pv"))
     down = checkpointed(down.distinct())
-    open_, left = nodes.select("id"), down.select("u", "v")
-    won: DataFrame | None = None
-    while True:
-        now = checkpointed(open_.join(left.select(F.col("u").alias("id")).distinct(), "id", "left_anti"))
-        won = now if won is None else won.unionByName(now)
-        lost = checkpointed(left.join(now.select(F.col("id").alias("v")), "v", "left_semi").select(F.col("u").alias("id")).distinct())
-        open_ = open_.join(now, "id", "left_anti").join(lost, "id", "left_anti")
-        left = left.join(lost.select(F.col("id").alias("u")), "u", "left_anti").join(lost.select(F.col("id").alias("v")), "v", "left_anti")
-        open_, left = checkpointed(open_), checkpointed(left)
-        if open_.isEmpty():
-            break
-    won = checkpointed(won)
+    left, lost = down.select("u", "v"), nodes.select("id").limit(0)
+    while not left.isEmpty():
+        # Nodes without an undecided better neighbour have won; those next to them lose.
+        top = left.select("v").distinct().join(left.select(F.col("u").alias("v")).distinct(), "v", "left_anti")
+        beaten = checkpointed(left.join(top, "v", "left_semi").select(F.col("u").alias("id")).distinct())
+        left = left.join(beaten.select(F.col("id").alias("u")), "u", "left_anti").join(beaten.select(F.col("id").alias("v")), "v", "left_anti")
+        left, lost = checkpointed(left), lost.unionByName(beaten)
+    won = checkpointed(nodes.select("id").join(lost, "id", "left_anti"))
     best = down.join(won.select(F.col("id").alias("v")), "v", "left_semi").groupBy("u").agg(F.min_by("v", "pv").alias("w"))
     best = best.join(won.select(F.col("id").alias("u")), "u", "left_anti")
     return won.select("id", F.col("id").alias("winner_id")).unionByName(best.select(F.col("u").alias("id"), F.col("w").alias("winner_id")))
