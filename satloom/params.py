@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 
 @dataclass(frozen=True)
@@ -72,3 +72,42 @@ class Params:
     classification: str = "Satellite"
     double_sequences: bool = True
     top_n: int = 20
+
+
+#: Sections of a configuration file, the group of parameters each fills, and names that differ there.
+SECTIONS: dict[str, tuple[str, dict[str, str]]] = {
+    "candidate_scan": ("scan", {}),
+    "cluster_ranking": ("peeling", {"min_cluster_identity": "min_identity"}),
+    "cross_cluster_comparison": ("comparing", {"null_test_skip_margin": "skip_margin"}),
+    "satellite_screen": ("screening", {}),
+}
+#: Single values by section and name, and what they are called here.
+SINGLE: dict[tuple[str, str], str] = {
+    ("copy_number_filter", "min_total_copy_number"): "min_total_copy_number",
+    ("visualization", "top_n"): "top_n",
+    ("known_repeat_screen", "double_sequences"): "double_sequences",
+}
+
+
+def from_mapping(config: dict) -> Params:
+    """Parameters from a configuration as nested dictionaries (a YAML file, say); what it leaves out keeps its default.
+
+    Settings of other tools (paths, shards, resources) are passed over; a value of a wrong kind is an error.
+    """
+    made: dict = {}
+    for section, (group, renamed) in SECTIONS.items():
+        kind = type(getattr(Params(), group))
+        known = {f.name: f for f in fields(kind)}
+        own = {}
+        for name, value in (config.get(section) or {}).items():
+            name = renamed.get(name, name)
+            if name in known:
+                default = getattr(kind(), name)
+                if isinstance(default, (int, float)) and not isinstance(default, bool) and not isinstance(value, (int, float)):
+                    raise ValueError(f"{section}.{name} must be a number, not {value!r}")
+                own[name] = tuple(value) if isinstance(value, list) else value
+        made[group] = kind(**own)
+    for (section, name), here in SINGLE.items():
+        if name in (config.get(section) or {}):
+            made[here] = config[section][name]
+    return Params(**made)

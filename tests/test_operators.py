@@ -231,3 +231,22 @@ def test_charts(spark):
     assert charts.log_histogram(df.where("false"), "v", 3).count() == 0
     with pytest.raises(Exception, match="positive"):
         charts.log_histogram(spark.createDataFrame([(0.0,)], "v double"), "v", 3).collect()
+
+
+def test_counters_ride_along(spark):
+    from satloom.operators.counters import counted
+
+    df, seen = counted(spark.range(10), "numbers", even=F.count_if(F.col("id") % 2 == 0))
+    df.where("id > 3").collect()
+    assert seen.get == {"rows": 10, "even": 5}
+
+
+def test_parameters_from_a_configuration():
+    from satloom.params import Params, from_mapping
+
+    assert from_mapping({}) == Params()
+    made = from_mapping({"candidate_scan": {"window": 3}, "cluster_ranking": {"min_cluster_identity": 0.9, "threads": 4},
+                         "cross_cluster_comparison": {"null_test_skip_margin": 0.1, "num_shards": 4}, "visualization": {"top_n": 5}})
+    assert (made.scan.window, made.scan.radius, made.peeling.min_identity, made.comparing.skip_margin, made.top_n) == (3, 3, 0.9, 0.1, 5)
+    with pytest.raises(ValueError, match="must be a number"):
+        from_mapping({"candidate_scan": {"window": "wide"}})
