@@ -61,7 +61,7 @@ def lower_ascii(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under ``spark.checkpoint.dir``, which driver and executors share.
+    """A new folder under ``spark.checkpoint.dir``, which driver and executors share; it goes when the session's JVM ends.
 
     Where the session names none (as in tests) a temporary one is set.
     """
@@ -72,7 +72,12 @@ def shared_dir(spark: SparkSession) -> str:
         root = kept.get() if kept.isDefined() else f"file://{tempfile.mkdtemp(prefix='satloom-')}"
         if not kept.isDefined():
             context.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/satloom-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/satloom-{uuid.uuid4().hex}"
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
