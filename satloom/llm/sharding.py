@@ -31,16 +31,18 @@ def shuffled_shards(docs: DataFrame, shards: int = 40, seed: int = 11, bucket_mb
     Law ``key``: doc_id and the number of shards decide a row's shard; grown_shard is its shard if there were one more. A null
     doc_id is a key like any other, and rows of one doc_id share a shard. Repeated rows each get a slot of their
     own; null texts stay null; an empty table gives no rows. Copies of a text are spread by their doc_ids. A bucket holds about
-    ``bucket_mb`` MB of text (one row may exceed it), so no task holds a shard or a group whole.
+    ``bucket_mb`` MB of text (one row may exceed it), so no task holds a shard or a group whole. Runs over the same files agree;
+    ``docs`` should be a stored table.
     """
     spark = docs.sparkSession
     path = path or f"{C.shared_dir(spark)}/shards"
-    rows = C.pick(docs, "doc_id", "text")
+    # The row's place in the scan joins the hash: rows repeated whole are spread over buckets too.
+    rows = C.pick(docs, "doc_id", "text").withColumn("rid", F.monotonically_increasing_id())
     nbytes = rows.agg(F.sum(F.octet_length(C.whole()) + 16)).first()[0] or 0
     buckets = max(1, math.ceil(nbytes / shards / (bucket_mb * (1 << 20))))
     shard, grown = rendezvous(F.col("doc_id"), shards, seed)
-    rows = rows.select("doc_id", "text", shard.alias("shard"), grown.alias("grown_shard"))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", F.crc32(C.whole().cast("binary"))), F.lit(buckets)).cast("int"))
+    bucket = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "rid"), F.lit(buckets)).cast("int")
+    rows = rows.select("doc_id", "text", shard.alias("shard"), grown.alias("grown_shard"), bucket.alias("bucket"))
     # Sorted rows make the draws of each bucket the same in every run and every retry.
     scattered = rows.repartition(shards * buckets, "shard", "bucket").sortWithinPartitions("shard", "bucket", "doc_id", "text")
     permuted = scattered.groupBy("shard", "bucket").agg(F.shuffle(F.collect_list(F.struct("doc_id", "text", "grown_shard")), F.lit(seed)).alias("r"))
