@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from satloom.llm import common as C
 
+#: Offsets (24 bytes each) that are sent to every task at most.
+MAX_SENT = 500_000
+
 
 def rendezvous(key: Column, shards: int, seed: int) -> tuple[Column, Column]:
     """The shard of ``key`` among ``shards``, and among one more; both as columns.
@@ -54,6 +57,8 @@ def shuffled_shards(docs: DataFrame, shards: int = 40, seed: int = 11, bucket_mb
     sizes = kept.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
     upto = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     ahead = sizes.select("shard", "bucket", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("before"))
+    # A row for each bucket: sent whole where those are few, so that the records need no second shuffle; joined by shuffle beyond.
+    ahead = F.broadcast(ahead) if shards * buckets <= MAX_SENT else ahead
     return kept.join(ahead, ["shard", "bucket"]).select(
         "doc_id", "text", "shard", (F.col("before") + F.col("pos")).alias("slot"), "grown_shard"
     )
