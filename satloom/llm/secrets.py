@@ -1,8 +1,7 @@
 """Secret scans: all rules compiled into one minimal automaton, which reads each byte of the text once.
 
-Rules ask for the least length that counts, so that ordinary words leave the automaton's accepting states alone. Texts
-(cut at line ends, which no rule crosses) in which it accepts are then located exactly: leftmost, non-overlapping, in
-code points.
+It tells which lines (no rule crosses a line end) hold what rules' beginnings. Only those lines are then searched, by those
+rules, for the exact spans: leftmost, non-overlapping, in code points of the text.
 """
 
 from __future__ import annotations
@@ -65,15 +64,22 @@ def scan(dfa: A.Dfa, texts: list[bytes]) -> list[list[tuple[str, int, int]]]:
     """The secrets in each text, sorted by start and kind."""
     lines: list[bytes] = []
     owner: list[int] = []
+    first: list[int] = []
     for i, text in enumerate(texts):
         own = text.split(b"\n")
+        first.append(len(lines))
         lines += own
         owner += [i] * len(own)
     masks = A.hits(dfa, lines)
-    total: dict[int, int] = {}
+    found: list[list[tuple[str, int, int]]] = [[] for _ in texts]
+    text, at, done = -1, 0, 0  # line ``done`` of the text starts at code point ``at``
     for j in np.flatnonzero(masks).tolist():
-        total[owner[j]] = total.get(owner[j], 0) | int(masks[j])
-    return [spans_in(t.decode(), A.matched_rules(dfa, total[i])) if i in total else [] for i, t in enumerate(texts)]
+        if owner[j] != text:
+            text, at, done = owner[j], 0, first[owner[j]]
+        at += sum(len(x.decode()) + 1 for x in lines[done:j])
+        done = j
+        found[text] += [(k, at + a, at + z) for k, a, z in spans_in(lines[j].decode(), A.matched_rules(dfa, int(masks[j])))]
+    return found
 
 
 def _scanner(dfa: A.Dfa):

@@ -65,3 +65,16 @@ def test_positions_and_dropped_matches(spark):
     for text, found in zip(cases, S.scan(dfa, [c.encode() for c in cases]), strict=True):
         assert [x for x in found if x[0] in S.BASE] == base(text)
     assert S.scan(dfa, [("ghp_" + "a" * 36).encode()])[0][0] == ("github", 0, 40)
+
+
+def test_only_lines_that_the_automaton_flags_are_searched(monkeypatch):
+    dfa, seen, searched = A.compiled(S.RULES), [], S.spans_in
+    monkeypatch.setattr(S, "spans_in", lambda text, kinds: seen.append((text, kinds)) or searched(text, kinds))
+    text = "é plain\n" * 1000 + "token: x\nkey AKIA" + "B" * 16 + " ü\n" + "ü\n" * 500 + "0123456789abcdef0 ghp_" + "a" * 36 + "\nend"
+    (found,) = S.scan(dfa, [text.encode()])
+    assert seen == [("token: x", ["assign"]), ("key AKIA" + "B" * 16 + " ü", ["access"]), ("0123456789abcdef0 ghp_" + "a" * 36, ["hex", "github"])]
+    assert found == searched(text, list(S.RULES)) and len(found) == 4
+    rng = random.Random(5)
+    bits = ["token=abcdefghijkl", "secret: ", "AKIA" + "C" * 14, "\n", "\r\n", "é", "0123456789abcdef", "\u2028", " ", "x"]
+    texts = ["".join(rng.choices(bits, k=rng.randint(0, 15))) for _ in range(2000)]
+    assert S.scan(dfa, [t.encode() for t in texts]) == [searched(t, list(S.RULES)) for t in texts]
