@@ -299,7 +299,7 @@ def tile_pairs(spark, d):
 
 @query
 def null_test_pairs(spark, d):
-    return pairs.compare(pool(spark, d), Comparing(n_shuffles=5, min_identity=0.5, min_coverage=0.6))
+    return pairs.compare(pool(spark, d), Comparing(min_identity=0.5, min_coverage=0.6))
 
 
 @query
@@ -307,4 +307,4 @@ def peel_clusters(spark, d):
     """Clusters of the loci's distinct sequences by entry, with their consensus."""
     rows = loci(spark, d).groupBy("entry_id", "consensus").agg(F.min("start_pos").alias("row_id"), F.max("copy_number_c").alias("copy_number"), F.avg("percent_match").alias("percent_match"), F.avg("entropy").alias("entropy"))
     rows = rows.select("entry_id", F.lit("cand32").alias("motif"), F.lit(32).alias("target_period"), F.lit(5).alias("window"), "row_id", F.concat("consensus", "consensus").alias("consensus"), "copy_number", "percent_match", "entropy")
-    return peeling.clusters(rows, Peeling(min_identity=0.6, max_rounds=3))
+    return peeling.clusters(rows, Peeling(min_identity=0.6))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from satloom import schemas
 from satloom.functions import kernels as K
 from satloom.params import Comparing, Params, Peeling, Scan
-from satloom.plans import workflows
+from satloom.plans import queries, workflows
 from satloom.plans.oracles import ORACLES
 from satloom.plans.queries import QUERIES
 
@@ -97,3 +97,12 @@ def test_queries_against_sql(spark, sf_dir, name):
 
 def test_every_oracle_has_its_query():
     assert set(ORACLES) <= set(QUERIES)
+
+
+def test_queries_run_all_shuffles_and_rounds(spark, sf_dir, monkeypatch):
+    seen = []
+    monkeypatch.setattr(queries.pairs, "compare", lambda rows, how: seen.append(how.n_shuffles))
+    monkeypatch.setattr(queries.peeling, "clusters", lambda rows, how: seen.append(how.max_rounds))
+    for name in ("null_test_pairs", "peel_clusters"):
+        QUERIES[name](spark, sf_dir)
+    assert seen == [Comparing().n_shuffles, Peeling().max_rounds]
