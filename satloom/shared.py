@@ -4,15 +4,25 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once and written to the folder in ``spark.checkpoint.dir``, which driver and executors share.
+def checkpoint_dir(spark: SparkSession) -> None:
+    """Sees to it that checkpoints go to the folder in ``spark.checkpoint.dir``, which driver and executors share.
 
-    Where the session names none (as in tests) a temporary one is set.
+    Where the session names none, a session in one process (as in tests) gets a temporary one; on a cluster that is an error,
+    since each machine would write to a disk of its own.
     """
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.mkdtemp(prefix='satloom-')}")
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isDefined():
+        return
+    root = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not context._jsc.sc().isLocal():
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    context.setCheckpointDir(root or f"file://{tempfile.mkdtemp(prefix='satloom-')}")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once and written to the shared folder."""
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
