@@ -1,7 +1,9 @@
 import hashlib
+import random
 import uuid
 
 import duckdb
+import pytest
 
 from satloom.llm import common as C
 from satloom.llm import dedup as D
@@ -59,3 +61,43 @@ def test_stage_keeps_columns(spark, odd):
     kept = D.stage(spark, odd, "")
     assert kept.columns == odd.columns
     assert sorted(map(str, (r["doc_id"] for r in kept.collect()))) == sorted(["10", "2", "3", "5", "6", "7", "8", "9", "None"])
+
+
+def test_a_batch_given_again_loses_nothing(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a"), (2, "A"), (None, "b"), (4, None)], "doc_id long, text string")
+    index = D.DigestIndex(spark, f"digests_{uuid.uuid4().hex}", buckets=3, path=str(tmp_path / "index"))
+    rows = lambda found: sorted(map(tuple, found.drop("rid").collect()), key=str)
+    first = rows(D.exact_dedup(docs, index, "monday"))
+    assert sum(r[-1] for r in first) == 3 and index.table.count() == 3
+    # Neither the whole batch again nor one of which a part had been appended changes result or index.
+    assert rows(D.exact_dedup(docs, index, "monday")) == first and index.table.count() == 3
+    index.drop()
+    part = D.DigestIndex(spark, f"digests_{uuid.uuid4().hex}", buckets=3, path=str(tmp_path / "part"))
+    part.append(D.digests(docs.where("doc_id = 4")).selectExpr("digest", "doc_id AS keep_id", "1L AS n"), "monday")
+    assert rows(D.exact_dedup(docs, part, "monday")) == first and part.table.count() == 3
+    assert not any(r[-1] for r in rows(D.exact_dedup(docs, part, "tuesday"))) and part.table.count() == 3
+    part.drop()
+
+
+def test_batches_against_brute_force(spark, tmp_path):
+    rng = random.Random(4)
+    index = D.DigestIndex(spark, f"digests_{uuid.uuid4().hex}", buckets=4, path=str(tmp_path / "index"))
+    known = {}
+    for batch in range(3):
+        rows = [(i, rng.choice("abcdefghijkl") * rng.randint(1, 3)) for i in range(batch * 30, batch * 30 + 30)]
+        groups = {}
+        for i, t in rows:
+            groups.setdefault(key(t), []).append(i)
+        want = [(i, key(t), known.get(key(t), max(groups[key(t)])), len(groups[key(t)]), key(t) not in known and i == max(groups[key(t)])) for i, t in rows]
+        got = D.exact_dedup(spark.createDataFrame(rows, "doc_id long, text string"), index, str(batch))
+        assert sorted((r["doc_id"], r["digest"].hex(), r["keep_id"], r["group_size"], r["kept"]) for r in got.collect()) == sorted(want)
+        known = {k: max(ids) for k, ids in groups.items()} | known
+    index.drop()
+
+
+def test_no_table_is_left_and_ids_must_be_whole_numbers(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    assert D.op7(spark, "/root/testdata/sf0.001").count() > 0
+    assert {t.name for t in spark.catalog.listTables()} == before
+    with pytest.raises(TypeError, match="doc_id"):
+        D.exact_dedup(spark.createDataFrame([("x", "a")], "doc_id string, text string"), D.fresh_index(spark))
