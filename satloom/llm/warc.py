@@ -52,23 +52,24 @@ def labelled(pages: DataFrame) -> DataFrame:
     """Each row of ``pages`` as page_id, url, html (binary), rid, digest, record_type and refers_to.
 
     Equal digests are met as one row each, after partial aggregation; giving rows their type is a join that can be split. Of
-    rows that share the smallest page_id the first read is the response; a null page_id ranks last.
+    rows that share the smallest page_id the first read is the response; a null page_id ranks last. page_id must be of an integer type.
     """
+    C.whole_number(pages, "page_id")
     rows = C.pick(pages, "page_id", "url", "html").select(
         F.monotonically_increasing_id().alias("rid"),
         F.col("page_id").cast("long").alias("page_id"),
         "url",
         F.encode(C.whole("html"), "UTF-8").alias("html"),
     )
-    rows = rows.withColumn("digest", F.unhex(F.sha1("html")))
-    first = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "rid")).alias("first")
-    firsts = C.stored(rows.groupBy("digest").agg(first), f"{C.shared_dir(pages.sparkSession)}/firsts")
-    own = F.col("rid") == F.col("first.rid")
+    rows = rows.withColumn("digest", F.unhex(F.sha1("html"))).withColumn("place", C.place(F.col("page_id"), F.col("rid"), 1))
+    firsts = rows.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.min("place").alias("first"))
+    firsts = C.stored(firsts, f"{C.shared_dir(pages.sparkSession)}/firsts")
+    own = F.col("place") == F.col("first")
     return rows.join(firsts, "digest").select(
         "rid", "page_id", "url", "html", "digest",
         F.when(own, "response").otherwise("revisit").alias("record_type"),
-        F.when(~own, F.col("first.page_id")).alias("refers_to"),
-        F.col("first.rid").alias("refers_rid"),
+        F.when(~own, F.col("first_id")).alias("refers_to"),
+        C.place_rid(F.col("first"), F.col("first_id"), 1).alias("refers_rid"),
     )
 
 
