@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import xxhash
 from conftest import WORD  # type: ignore[import-not-found]
 
@@ -86,3 +87,66 @@ def test_stage_keeps_columns_and_one_of_each_group(spark, odd):
     assert kept.columns == odd.columns
     ids = [r["doc_id"] for r in kept.collect()]
     assert len(ids) == len(set(ids)) and 1 in ids and 2 not in ids and 5 not in ids
+
+
+def test_hashes_of_spans_are_xxh64():
+    rng = np.random.default_rng(7)
+    spans = [rng.bytes(n) for n in [*range(1, 140), *range(1, 40), 1000, 4999]]
+    length = np.array([len(x) for x in spans])
+    got = S.xxh64(b"".join(spans) + bytes(8), np.cumsum(length) - length, length)
+    assert got.tolist() == [xxhash.xxh64_intdigest(x, 42) for x in spans]
+
+
+def test_long_texts_in_pieces(monkeypatch):
+    texts = ["a b c", " " * 200, "x" * 300, "x" * 300 + " y", "a " * 200, "aa bb " + "z" * 100 + " q   r" + " " * 99, "", "One\ttwo\n" * 300, "é ü " * 90, "w " * 600]
+    for size in (1, 7, 50, 1000):
+        monkeypatch.setattr(S, "SLICE", size)
+        assert S.fingerprints([t.encode() for t in texts]).tolist() == [brute_fingerprint(t) for t in texts], size
+
+
+def sets_of(fp, u, v):
+    whole = S.Forest(len(fp))
+    whole.link(np.searchsorted(fp, u), np.searchsorted(fp, v))
+    return whole.root
+
+
+def test_finer_masks_lose_no_link():
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 64, 4000, np.uint64)
+    near = base.copy()
+    for _ in range(4):
+        near ^= np.uint64(1) << rng.integers(0, 64, 4000).astype(np.uint64)
+    masks = np.array(S.finer(), np.uint64)
+    assert len(masks) == 25 and (((base ^ near)[:, None] & masks) == 0).any(axis=1).all()
+
+
+def test_large_cells_are_split_and_lose_no_link(spark):
+    rng = np.random.default_rng(9)
+    # All in a few cells of every grid: counts of bits are alike, bits are not.
+    pairs = rng.integers(0, 2, (1500, 32), np.uint64)
+    base = (np.uint64(1) << (pairs + 2 * np.arange(32, dtype=np.uint64))).sum(axis=1, dtype=np.uint64)
+    near = base ^ (np.uint64(1) << rng.integers(0, 64, 1500).astype(np.uint64))
+    fp = np.unique(np.concatenate([base, near]))
+    points = spark.createDataFrame([(int(x),) for x in fp.view(np.int64)], "fp long")
+    edges = S.forest(points, len(fp), most=100).toPandas()
+    got = sets_of(fp, edges["u"].to_numpy().view(np.uint64), edges["v"].to_numpy().view(np.uint64))
+    a, b = np.triu_indices(len(fp), 1)
+    close = np.bitwise_count(fp[a] ^ fp[b]) <= 4
+    assert np.array_equal(got, sets_of(fp, fp[a[close]], fp[b[close]]))
+
+
+def test_a_cell_of_any_size_is_passed_on_in_bounded_memory():
+    fp = np.sort(np.random.default_rng(10).integers(-(1 << 63), 1 << 63, 50_000, np.int64))
+    most_held = 0
+
+    def batches():
+        for i in range(0, 40 * len(fp), 10_000):
+            own = fp[i % len(fp) : i % len(fp) + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.full(len(own), 5 if i else 4))], ["fp", "cell"])
+
+    seen = again = 0
+    for out in S._cell_batches(4, S.CELL)(batches()):
+        most_held = max(most_held, out.num_rows)
+        again += sum(out.column("again").to_pylist())
+        seen += out.num_rows
+    assert again == 40 * len(fp) - 10_000 and most_held <= 2 * S.HELD
