@@ -91,18 +91,17 @@ def _cell_quotas(block: int, repeats: int):
     return quotas
 
 
-def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """One row per row of ``docs``: rid, doc_id, size, source_size, target, taken, and what of it is taken.
+def mixed(docs: DataFrame, mix: Mix = Mix(), rid: str | None = None) -> DataFrame:
+    """One row per row of ``docs``: rid, doc_id, size, source_size, target, taken, cell, and what of it is taken.
 
     ``passes`` whole copies are taken and the words [from_word, to_word) and [from_word2, to_word2) once more (half open, both may
     be empty). Sources rank by code point, the null source last. Empty or null texts have size 0 and nothing is taken of them;
-    a source or table without words has target 0. Repeated rows count each for itself. rid is the row's place in the scan, so
-    ``docs`` should be a stored table.
+    a source or table without words has target 0. Repeated rows count each for itself; which cell a row meets follows from doc_id,
+    size and the number of the copy among rows equal in those, so that the same rows give the same mix however they lie.
+    rid: see common.keyed.
     """
     spark = docs.sparkSession
-    rows = C.pick(docs, "doc_id", "source", "text").select(
-        F.monotonically_increasing_id().alias("rid"), "doc_id", "source", C.word_count(C.whole()).alias("size")
-    )
+    rows = C.keyed(docs, "doc_id", "source", "text", rid=rid).select("rid", "doc_id", "source", C.word_count(C.whole()).alias("size"))
     rows = C.stored(rows, f"{C.shared_dir(spark)}/sizes")
     per_source = rows.groupBy("source").agg(F.sum("size").alias("words"))
     known = [(r["source"], int(r["words"])) for r in per_source.limit(mix.max_sources + 1).collect()]
@@ -119,18 +118,19 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     )
     # Bounded by max_sources rows, and so sent whole to each task.
     rows = rows.join(F.broadcast(table), rows["source"].eqNullSafe(table["source"])).drop("source")
-    rows = rows.withColumn("draw", F.xxhash64(F.lit(mix.seed), "doc_id", "size"))
-    rows = rows.withColumn("cell", F.pmod(F.xxhash64(F.lit(mix.seed + 1), "doc_id", "size"), "cells").cast("int"))
+    rows = C.copies(rows, "source_no", "doc_id", "size")
+    rows = rows.withColumn("draw", F.xxhash64(F.lit(mix.seed), "doc_id", "size", "copy"))
+    rows = rows.withColumn("cell", F.pmod(F.xxhash64(F.lit(mix.seed + 1), "doc_id", "size", "copy"), "cells").cast("int"))
     cells = rows.groupBy("source_no", "cell").agg(F.sum("size").alias("words"), F.first("seats").alias("seats"))
     quotas = cells.groupBy("source_no").applyInPandas(
         _cell_quotas(block, mix.repeats), "source_no int, cell int, quota long, words long"
     )
-    order = Window.partitionBy("source_no", "cell").orderBy("draw", "doc_id", "size", "rid").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("source_no", "cell").orderBy("draw", "doc_id", "size", "copy").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("upto", F.sum("size").over(order)).join(quotas, ["source_no", "cell"])
     run = F.col("quota") * block
     some = ~F.col("whole") & (F.col("words") > 0)
     rows = rows.select(
-        "rid", "doc_id", "size", "source_size", "target", "words", (F.col("upto") - F.col("size")).alias("ahead"),
+        "rid", "doc_id", "size", "source_size", "target", "cell", "words", (F.col("upto") - F.col("size")).alias("ahead"),
         F.when(F.col("whole"), mix.repeats).when(some, F.floor(run / F.col("words"))).otherwise(0).cast("long").alias("passes"),
         F.when(some, run % F.col("words")).otherwise(0).alias("extra"),
         F.when(some, block * F.pmod(F.xxhash64(F.lit(mix.seed + 2), "source_no", "cell"), F.ceil(F.col("words") / block))).otherwise(0).alias("start"),
@@ -150,7 +150,7 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     )
     taken = F.col("passes") * F.col("size") + F.col("to_word") - F.col("from_word") + F.col("to_word2")
     return rows.select(
-        "rid", "doc_id", "size", "source_size", "target", taken.alias("taken"), "passes", "from_word", "to_word", "from_word2", "to_word2"
+        "rid", "doc_id", "size", "source_size", "target", taken.alias("taken"), "cell", "passes", "from_word", "to_word", "from_word2", "to_word2"
     )
 
 
@@ -170,9 +170,10 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A part is the words taken, joined by single spaces; n_chars, if there, counts what the row holds.
     """
-    safe, at = C.positional(docs)
-    plan = mixed(docs).where("taken > 0").select("rid", "size", "passes", "from_word", "to_word", "from_word2", "to_word2")
-    rows = safe.withColumn("rid", F.monotonically_increasing_id()).join(plan, "rid")
+    stored = C.numbered(docs)
+    plan = mixed(stored, rid=C.ROW).where("taken > 0").select("rid", "size", "passes", "from_word", "to_word", "from_word2", "to_word2")
+    safe, at = C.positional(stored)
+    rows = safe.withColumnRenamed(at.pop(C.ROW), "rid").join(plan, "rid")
     span = lambda a, b: F.struct(a.cast("long").alias("a"), b.cast("long").alias("b"))
     parts = F.concat(
         F.array_repeat(span(F.lit(0), F.col("size")), F.col("passes").cast("int")),
@@ -185,4 +186,4 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = rows.withColumn(at["text"], text)
     if "n_chars" in at:
         rows = rows.withColumn(at["n_chars"], F.char_length(at["text"]).cast(docs.schema["n_chars"].dataType))
-    return rows.select(*safe.columns).toDF(*docs.columns)
+    return rows.select(*safe.columns[: len(docs.columns)]).toDF(*docs.columns)

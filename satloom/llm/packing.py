@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from satloom.llm import common as C
@@ -97,12 +97,15 @@ def pack(sizes: Sequence[int], lengths: Sequence[int], bin_cost: int = 4) -> tup
     return bins, offsets, final
 
 
-SCHEMA = "doc_id long, piece int, first_word long, n_words long, pack_group long, bin long, bin_offset long, bin_length long, bin_used long"
+SCHEMA = (
+    "rid long, doc_id long, text_hash long, copy long, piece int, first_word long, n_words long, pack_group long, bin long, bin_offset long, "
+    "bin_length long, bin_used long"
+)
 
 
 def _packer(how: Packing):
     def packed(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["n_words", "draw", "rid", "piece"], ascending=[False, True, True, True])
+        rows = rows.sort_values(["n_words", "draw", "text_hash", "copy", "piece"], ascending=[False, True, True, True, True])
         bins, offsets, final = pack(rows["n_words"].tolist(), how.lengths, how.bin_cost)
         at = np.array(bins)
         rows["bin"], rows["bin_offset"], rows["bin_length"] = bins, offsets, np.array(final)[at]
@@ -112,40 +115,60 @@ def _packer(how: Packing):
     return packed
 
 
-def best_fit(docs: DataFrame, how: Packing = Packing()) -> DataFrame:
+def best_fit(docs: DataFrame, how: Packing = Packing(), rid: str | None = None) -> DataFrame:
     """A row for each piece of each row of ``docs``: where it stands in which bin (SCHEMA).
 
-    A bin is known by pack_group and bin; it has length bin_length, of which bin_used words are taken, and holds its pieces one
-    after another from bin_offset on. A document longer than the longest length is cut into pieces of that length and a rest; a
-    shorter one is a single piece. Documents without words (null or empty texts) are a piece of 0 words that takes no room. Repeated
-    rows are packed each for itself; an empty table gives no rows. No document is dropped or cut short.
+    A row of ``docs`` is known by doc_id, text_hash and copy (its number among rows equal in both), a piece by that and ``piece``: these
+    are a key of the result and do not depend on how the rows lie. A bin is known by pack_group and bin; it has length
+    bin_length, of which bin_used words are taken, and holds its pieces one after another from bin_offset on. A document longer than
+    the longest length is cut into pieces of that length and a rest; a shorter one is a single piece. Documents without words
+    (null or empty texts) are a piece of 0 words that takes no room. Repeated rows are packed each for itself; an empty
+    table gives no rows. No document is dropped or cut short. doc_id must be of an integer type (else TypeError). rid: see common.keyed.
     """
+    C.whole_number(docs, "doc_id")
     longest = max(how.lengths)
-    rows = C.pick(docs, "doc_id", "text").select(
-        F.monotonically_increasing_id().alias("rid"), "doc_id", C.word_count(C.whole()).alias("size")
+    rows = C.keyed(docs, "doc_id", "text", rid=rid).select(
+        "rid", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), C.word_count(C.whole()).alias("size")
     )
     rows = C.stored(rows, f"{C.shared_dir(docs.sparkSession)}/sizes")
     total = rows.agg(F.sum(F.greatest(F.lit(1), F.ceil(F.col("size") / longest)))).first()[0] or 0
     groups = max(1, math.ceil(total / how.group_rows))
     last = F.greatest(F.lit(0), F.ceil(F.col("size") / longest) - 1).cast("int")
-    pieces = rows.select("rid", "doc_id", "size", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
+    pieces = C.copies(rows, "doc_id", "text_hash").withColumn("piece", F.explode(F.sequence(F.lit(0), last)))
+    own = ("doc_id", "text_hash", "copy", "piece")
     pieces = pieces.select(
         "rid",
-        "doc_id",
-        "piece",
+        *own,
         (F.col("piece").cast("long") * longest).alias("first_word"),
         F.least(F.lit(longest).cast("long"), F.col("size") - F.col("piece").cast("long") * longest).alias("n_words"),
-        F.xxhash64(F.lit(how.seed), "doc_id", "piece", "size").alias("draw"),
+        F.xxhash64(F.lit(how.seed), *own).alias("draw"),
     )
-    # The row's place joins the hash, so that many rows of one doc_id do not meet in one group.
-    key = F.pmod(F.xxhash64(F.lit(how.seed + 1), "doc_id", "rid", "piece"), F.lit(groups))
+    key = F.pmod(F.xxhash64(F.lit(how.seed + 1), *own), F.lit(groups))
     return pieces.withColumn("pack_group", key).groupBy("pack_group").applyInPandas(_packer(how), SCHEMA)
 
 
+def packed_texts(docs: DataFrame, how: Packing = Packing()) -> DataFrame:
+    """best_fit of ``docs`` with the ``text`` of each piece, so that a bin's pieces in the order of bin_offset are a sequence.
+
+    A document that is one piece keeps its text as it is (null stays null); the words of cut ones are joined by single spaces.
+    """
+    longest, stored = max(how.lengths), C.numbered(docs)
+    rows = C.keyed(stored, "text", rid=C.ROW)
+
+    def cut(words: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(words), F.lit(longest))
+        return F.transform(starts, lambda i: F.array_join(F.slice(words, i, longest), " "))
+
+    long = C.word_count(C.whole()) > longest
+    texts = F.when(long, C.let(C.words_of(C.whole()), cut)).otherwise(F.array("text"))
+    pieces = rows.select("rid", F.posexplode(texts).alias("piece", "text"))
+    return best_fit(stored, how, C.ROW).join(pieces, ["rid", "piece"]).drop("rid")
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return best_fit(C.documents(spark, sf_dir))
+    return best_fit(C.documents(spark, sf_dir)).drop("rid")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The packed bins' pieces of ``docs``."""
-    return best_fit(docs)
+    """The packed bins' pieces of ``docs``, with their texts."""
+    return packed_texts(docs)
