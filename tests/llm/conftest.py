@@ -37,3 +37,23 @@ def empty(spark, tmp_path_factory):
     at = str(tmp_path_factory.mktemp("empty"))
     spark.createDataFrame([], DOCUMENTS).write.mode("overwrite").parquet(at)
     return spark.read.parquet(at)
+
+
+def spark_hash(*values):
+    """XXH64 as Spark chains it over a row: (number, bytes) pairs for whole numbers, str for text, None for null; as a signed long."""
+    import xxhash
+
+    h = 42
+    for v in values:
+        if v is not None:
+            data = v.encode() if isinstance(v, str) else v[0].to_bytes(v[1], "little", signed=True)
+            h = xxhash.xxh64_intdigest(data, h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def int_(n):
+    return (n, 4)
+
+
+def long_(n):
+    return None if n is None else (n, 8)

@@ -1,7 +1,10 @@
 import random
+from collections import Counter, defaultdict
 from fractions import Fraction
 
-from conftest import WORD  # type: ignore[import-not-found]
+from conftest import WORD, int_, long_, spark_hash  # type: ignore[import-not-found]
+
+from pyspark.sql import functions as F
 
 from satloom.llm import common as C
 from satloom.llm import mixing as M
@@ -77,3 +80,55 @@ def test_stage_gives_the_words_taken(spark, tmp_path):
         assert r["n_chars"] == len(r["text"])
         got[r["doc_id"]] = got.get(r["doc_id"], 0) + len(WORD.findall(r["text"]))
     assert got == {d: n for d, n in plan.items() if n}
+
+
+def brute_taken(rows, mix):
+    """(doc_id, size, target, taken) of (doc_id, source, text) rows, from the definitions: seats dealt one by one, words walked one by one."""
+    sizes, copy, cells = Counter(), Counter(), defaultdict(list)
+    for _, source, text in rows:
+        sizes[source] += len(WORD.findall(text or ""))
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    goal = M.targets([sizes[s] for s in names], mix)
+    block = max(1, min([mix.block, *(n // 200 for n in sizes.values() if n)]))
+    seats = brute_seats(goal, round(sum(goal) / block), [2 * sizes[s] // block for s in names])
+    for doc_id, source, text in rows:
+        n, s = len(WORD.findall(text or "")), names.index(source)
+        key = (long_(doc_id), long_(n), long_(copy[doc_id, s, n]))
+        own = spark_hash(int_(mix.seed + 1), *key) % min(mix.max_cells, max(1, -(-sizes[source] // mix.cell_words)))
+        order = (spark_hash(int_(mix.seed), *key), (doc_id is not None, doc_id or 0), n, copy[doc_id, s, n])
+        cells[s, own].append((order, doc_id, n))
+        copy[doc_id, s, n] += 1
+    out = []
+    for s, g in enumerate(goal):
+        mine = sorted(c for t, c in cells if t == s)
+        words = [sum(n for *_, n in cells[s, c]) for c in mine]
+        quota = brute_seats(words, seats[s], [2 * w // block for w in words])
+        for c, w, q in zip(mine, words, quota, strict=True):
+            ring = [i for i, (_, _, n) in enumerate(sorted(cells[s, c], key=lambda x: x[0])) for _ in range(n)]
+            begin = block * (spark_hash(int_(mix.seed + 2), int_(s), int_(c)) % -(-w // block)) if w else 0
+            run = 2 * w if g == 2 * sizes[names[s]] else q * block
+            got = Counter(ring[(begin + k) % w] for k in range(run))
+            out += [(d, n, float(g), got[i]) for i, (_, d, n) in enumerate(sorted(cells[s, c], key=lambda x: x[0]))]
+    return sorted(out, key=str)
+
+
+def test_taken_against_brute_force(spark, odd):
+    for docs, mix in ((C.documents(spark, AT), M.Mix(cell_words=30_000, block=512)), (odd, M.Mix(cell_words=50))):
+        rows = [tuple(r) for r in docs.select("doc_id", "source", "text").collect()]
+        got = sorted((tuple(r) for r in M.mixed(docs, mix).select("doc_id", "size", "target", "taken").collect()), key=str)
+        assert got == brute_taken(rows, mix)
+
+
+def test_equal_rows_spread_over_all_cells_however_they_lie(spark, tmp_path):
+    same = spark.range(60_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("a").alias("source"), F.lit("one two three four").alias("text"))
+    found = []
+    for files in (1, 7):
+        same.repartition(files).write.parquet(f"{tmp_path}/{files}")
+        docs = spark.read.parquet(f"{tmp_path}/{files}")
+        rows = M.mixed(docs, M.Mix(cell_words=20_000)).groupBy("cell", "taken").count().collect()
+        found.append(sorted(map(tuple, rows)))
+        per = Counter()
+        for cell, _, n in found[-1]:
+            per[cell] += n
+        assert len(per) == 12 and max(per.values()) < 1.1 * 60_000 / 12
+    assert found[0] == found[1]

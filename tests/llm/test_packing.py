@@ -5,6 +5,7 @@ from conftest import WORD  # type: ignore[import-not-found]
 
 from satloom.llm import common as C
 from satloom.llm import packing as P
+from test_pipeline import sequences_hold  # type: ignore[import-not-found]
 
 AT = "/root/testdata/sf0.01"
 
@@ -68,3 +69,14 @@ def test_odd_and_empty_tables(odd, empty):
         got[r["doc_id"]] += r["n_words"]
     assert got == words
     assert P.best_fit(empty).count() == 0
+
+
+def test_texts_of_pieces_and_their_key(spark, odd, empty, tmp_path):
+    docs = [(r["doc_id"], r["text"]) for r in odd.collect()]
+    rows = P.packed_texts(odd, P.Packing(lengths=(16, 64))).collect()
+    sequences_hold(rows, docs)
+    assert {(r["doc_id"], r["text"]) for r in rows if r["n_words"] < 64 and not r["piece"]} == {(d, t) for d, t in docs if len(WORD.findall(t or "")) < 64}
+    assert P.packed_texts(empty).count() == 0
+    odd.repartition(5).write.parquet(f"{tmp_path}/again")
+    other = P.packed_texts(spark.read.parquet(f"{tmp_path}/again"), P.Packing(lengths=(16, 64))).collect()
+    assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, other), key=str)

@@ -1,6 +1,10 @@
 import zlib
 from collections import Counter
 
+from conftest import int_, long_, spark_hash  # type: ignore[import-not-found]
+
+from pyspark.sql import functions as F
+
 from satloom.llm import common as C
 from satloom.llm import sharding as S
 
@@ -42,3 +46,36 @@ def test_odd_and_empty_tables(odd, empty):
     rows = S.shuffled_shards(odd, shards=2).collect()
     assert Counter((r["doc_id"], r["text"]) for r in rows) == Counter((r["doc_id"], r["text"]) for r in odd.collect())
     assert S.shuffled_shards(empty, shards=2).count() == 0
+
+
+def test_shards_are_those_of_the_highest_ticket(spark):
+    rows = S.op6(spark, AT).collect()
+    for r in rows[::7]:
+        tickets = [(spark_hash(int_(11), long_(r["doc_id"]), int_(s)), s) for s in range(41)]
+        assert r["shard"] == max(tickets[:-1])[1] and r["grown_shard"] == max(tickets)[1]
+
+
+def test_slots_do_not_depend_on_how_rows_lie(spark, tmp_path):
+    """Nor on frequent copies: a third of the rows is one record without doc_id."""
+    some = C.documents(spark, AT).select("doc_id", "text").limit(900)
+    docs = some.unionByName(spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("the same").alias("text")))
+    docs = docs.unionByName(docs.where("doc_id % 7 = 0"))
+    found, partitions = [], spark.conf.get("spark.sql.shuffle.partitions")
+    for files in (1, 5):
+        docs.repartition(files, F.rand(files)).write.parquet(f"{tmp_path}/{files}")
+        spark.conf.set("spark.sql.shuffle.partitions", str(files + 1))
+        got = S.shuffled_shards(spark.read.parquet(f"{tmp_path}/{files}"), shards=3, bucket_mb=0.02)
+        found.append(sorted(((r["shard"], r["slot"], r["doc_id"], r["text"]) for r in got.collect()), key=str))
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert found[0] == found[1] and Counter(x[2:] for x in found[0]) == Counter((r["doc_id"], r["text"]) for r in docs.collect())
+    for shard in range(3):
+        own = sorted(x[1:3] for x in found[0] if x[0] == shard)
+        assert [s for s, _ in own] == list(range(len(own)))
+
+
+def test_copies_spread_over_the_buckets_of_their_shard(spark, tmp_path):
+    spark.range(60_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("x" * 84).alias("text")).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    assert S.shuffled_shards(docs, shards=4, bucket_mb=0.5, path=f"{tmp_path}/out").select("slot").distinct().count() == 60_000
+    sizes = [r["count"] for r in spark.read.parquet(f"{tmp_path}/out").groupBy("bucket").count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 1.1 * 60_000 / 12
