@@ -1,8 +1,9 @@
 """Regular expressions to one minimal deterministic automaton over bytes, and scans with it.
 
-All rules are compiled together: Thompson's construction gives a nondeterministic automaton with a loop at its start, the subset
-construction makes it deterministic, and partition refinement makes it minimal. Bytes that no state tells apart share a class. A
-state knows, as a set of bits, the rules of which some match ends there.
+All rules are compiled together: Thompson's construction gives a nondeterministic automaton, the subset construction makes it
+deterministic, and partition refinement makes it minimal. Bytes that no state tells apart share a class. A state knows, as a set of
+bits, the rules that end there. Compiled backward and with a loop at its start, an automaton that reads a text from its end tells
+where matches begin; compiled forward without the loop, one that reads on from there tells where they end.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ class Nfa:
 class Parser:
     """Literals, ``\\xHH`` and escaped characters, classes, ``(...)`` or ``(?:...)``, ``|``, ``? * +``, ``{m}``, ``{m,}`` and ``{m,n}``."""
 
-    def __init__(self, pattern: str, nfa: Nfa, ignore_case: bool = False) -> None:
-        self.p, self.i, self.nfa, self.ignore_case = pattern, 0, nfa, ignore_case
+    def __init__(self, pattern: str, nfa: Nfa, ignore_case: bool = False, backward: bool = False) -> None:
+        self.p, self.i, self.nfa, self.ignore_case, self.backward = pattern, 0, nfa, ignore_case, backward
 
     def parse(self) -> tuple[int, int]:
         tree = self.either()
@@ -129,7 +130,7 @@ class Parser:
                 self.nfa.empty[e].append(z)
         elif kind == "seq":
             at = a
-            for item in tree[1]:
+            for item in reversed(tree[1]) if self.backward else tree[1]:
                 s, e = self.build(item)
                 self.nfa.empty[at].append(s)
                 at = e
@@ -213,14 +214,15 @@ def minimised(table: np.ndarray, accept: np.ndarray) -> tuple[np.ndarray, np.nda
     return rank[block][table[keep]], accept[keep]
 
 
-def compiled(rules: dict[str, tuple[str, bool]]) -> Dfa:
-    """``rules``: pattern and whether case is ignored, by name; at most 62 of them."""
+def compiled(rules: dict[str, tuple[str, bool]], backward: bool = False) -> Dfa:
+    """``rules``: pattern and whether case is ignored, by name; at most 62 of them. Backward, a match may end anywhere in the text."""
     nfa = Nfa()
     start = nfa.state()
-    nfa.on[start].append(((1 << 256) - 1, start))
+    if backward:
+        nfa.on[start].append(((1 << 256) - 1, start))
     finals: dict[int, int] = {}
     for bit, (pattern, ignore_case) in enumerate(rules.values()):
-        a, z = Parser(pattern, nfa, ignore_case).parse()
+        a, z = Parser(pattern, nfa, ignore_case, backward).parse()
         nfa.empty[start].append(a)
         finals[z] = 1 << bit
     classes, table, accept = subset_construction(nfa, start, finals)
@@ -228,48 +230,78 @@ def compiled(rules: dict[str, tuple[str, bool]]) -> Dfa:
     return Dfa(classes, table, accept, tuple(rules))
 
 
-def hits(dfa: Dfa, texts: list[bytes]) -> np.ndarray:
-    """For each text the bits of the rules that match in it: one pass over the bytes, all rules at once.
+def starts(dfa: Dfa, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where in ``data`` matches of the backward automaton begin, in order, and the bits of their rules: one pass over the bytes.
 
-    Texts go in lanes, a step takes a byte of each; the last few of the longest go on alone.
+    Bytes after which every state is the first one again cut the data into lanes. A step takes a byte of each lane, from its end;
+    the last few of the longest go on alone.
     """
-    found = np.zeros(len(texts), np.int64)
-    if not texts:
-        return found
+    resets = (dfa.table == 0).all(axis=0)
     width = dfa.table.shape[1]
     flat = (dfa.table * width).astype(np.int32).reshape(-1)
     accept = np.repeat(dfa.accept, width)
-    lengths = np.array([len(t) for t in texts])
+    codes = dfa.classes[np.frombuffer(data, np.uint8)]
+    bounds = np.concatenate([[-1], np.flatnonzero(resets[codes]), [len(codes)]])
+    lengths = np.diff(bounds) - 1
     order = np.argsort(-lengths, kind="stable")
-    data = dfa.classes[np.frombuffer(b"".join(texts), np.uint8)]
-    begin = (np.cumsum(lengths) - lengths)[order]
-    falling = lengths[order]
-    state = np.zeros(len(texts), np.int32)
-    got = np.zeros(len(texts), np.int64)
+    order = order[: int(np.count_nonzero(lengths))]
+    end, falling = bounds[1:][order] - 1, -lengths[order]
+    state = np.zeros(len(order), np.int32)
     any_accept = accept != 0
-    step, live = 0, len(texts)
+    at: list[np.ndarray] = []
+    bits: list[np.ndarray] = []
+    step = 0
     while True:
-        live = int(np.searchsorted(-falling, -step, side="left"))
+        live = int(np.searchsorted(falling, -step, side="left"))
         if live <= FEW:
             break
-        state[:live] = flat[state[:live] + data[begin[:live] + step]]
-        seen = np.flatnonzero(any_accept[state[:live]])
+        now = flat[state[:live] + codes[end[:live] - step]]
+        state[:live] = now
+        seen = np.flatnonzero(any_accept[now])
         if len(seen):
-            got[seen] |= accept[state[seen]]
+            at.append(end[seen] - step)
+            bits.append(accept[now[seen]])
         step += 1
-    hop, bits = flat.tolist(), accept.tolist()
+    hop, mask = flat.tolist(), accept.tolist()
     for lane in range(live):
-        s, mask = int(state[lane]), 0
-        for c in data[begin[lane] + step : begin[lane] + falling[lane]].tobytes():
+        s, low, high = int(state[lane]), int(end[lane] + falling[lane]), int(end[lane]) - step
+        found = []
+        for i, c in enumerate(reversed(codes[low + 1 : high + 1].tobytes())):
             s = hop[s + c]
-            mask |= bits[s]
-        got[lane] |= mask
-    found[order] = got
-    return found
-
-
-def matched_rules(dfa: Dfa, mask: int) -> list[str]:
-    return [name for bit, name in enumerate(dfa.rules) if mask >> bit & 1]
-
-
-__all__ = ["Dfa", "compiled", "hits", "matched_rules"]
+            if mask[s]:
+                found.append((high - i, mask[s]))
+        if found:
+            at.append(np.array([p for p, _ in found]))
+            bits.append(np.array([m for _, m in found]))
+    if not at:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    where, which = np.concatenate(at), np.concatenate(bits)
+    order = np.argsort(where, kind="stable")
+    return where[order], which[order]
+
+
+class Walker:
+    """The forward automaton, walked from one place on."""
+
+    def __init__(self, dfa: Dfa) -> None:
+        width = dfa.table.shape[1]
+        self.hop = (dfa.table * width).reshape(-1).tolist()
+        self.classes, self.accept = dfa.classes.tolist(), np.repeat(dfa.accept, width).tolist()
+        own = np.arange(len(dfa.table))[:, None]
+        self.dead = {int(s) * width for s in np.flatnonzero((dfa.table == own).all(axis=1) & (dfa.accept == 0))}
+
+    def ends(self, data: bytes, begin: int, one: int, two: int) -> tuple[int, int]:
+        """The last ends of matches of the rules with bits ``one`` and ``two`` that begin at ``begin``; -1 where there is none."""
+        s, last_one, last_two = 0, -1, -1
+        for i in range(begin, len(data)):
+            s = self.hop[s + self.classes[data[i]]]
+            if s in self.dead:
+                break
+            if self.accept[s] & one:
+                last_one = i + 1
+            if self.accept[s] & two:
+                last_two = i + 1
+        return last_one, last_two
+
+
+__all__ = ["Dfa", "Walker", "compiled", "starts"]

@@ -1,13 +1,14 @@
-"""Secret scans: all rules compiled into one minimal automaton, which reads each byte of the text once.
+"""Secret scans: all rules compiled into one minimal automaton, which reads each byte of the texts once.
 
-It tells which lines (no rule crosses a line end) hold what rules' beginnings. Only those lines are then searched, by those
-rules, for the exact spans: leftmost, non-overlapping, in code points of the text.
+It reads backward and so tells where each rule's matches begin. From a beginning on, a second automaton of the same rules reads
+forward and tells where the match ends, and whether it is long enough. Spans are leftmost and do not overlap within a rule.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Iterator
+import itertools
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -18,32 +19,35 @@ from satloom.llm import automaton as A
 from satloom.llm import common as C
 
 BASE = ("assign", "access", "hex")
-_KEY = r"(?:password|passwd|secret|token|api_?key)"
-
-#: For the automaton: what must be in a text that has such a secret, and whether case is ignored. Long counts of classes that
-#: overlap would multiply its states, so all but the count of ``hex`` are left to the exact check.
-RULES: dict[str, tuple[str, bool]] = {
-    "assign": (_KEY + r"[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]", True),
-    "access": (r"AKIA[A-Z0-9]", False),
-    "hex": (r"[0-9a-f]{16,}", False),
-    "github": (r"gh[pousr]_[A-Za-z0-9]", False),
-    "slack": (r"xox[abprs]-[0-9]", False),
-    "stripe": (r"[sr]k_live_[A-Za-z0-9]", False),
-    "private_key": (r"-----BEGIN\x20[A-Z]*\x20?PRIVATE\x20KEY-----", False),
-}
 
-#: The exact check: pattern, and what a match must satisfy besides.
-LOCATE: dict[str, tuple[re.Pattern[str], Callable[[re.Match[str]], bool]]] = {
-    "assign": (
-        re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII),
-        lambda m: len(m[2]) >= 12,
-    ),
-    "access": (re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 18),
-    "hex": (re.compile(r"[0-9a-f]+"), lambda m: len(m[0]) >= 16),
-    "github": (re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}"), lambda m: True),
-    "slack": (re.compile(r"xox[abprs]-[0-9]{10,}(?:-[A-Za-z0-9]+)*"), lambda m: True),
-    "stripe": (re.compile(r"[sr]k_live_[A-Za-z0-9]{16,}"), lambda m: True),
-    "private_key": (re.compile(RULES["private_key"][0]), lambda m: True),
+
+@dataclass(frozen=True)
+class Rule:
+    """A secret is ``head`` and then ``tail`` as often as it goes, ``least`` times or more.
+
+    drops: a match with fewer tails is no secret and yet uses up its text; else the search goes on within it. scan: tails that the pass over
+    all bytes counts; the others are counted on the way forward. (Counting several overlapping classes at once multiplies states.)
+    """
+
+    head: str
+    tail: str = ""
+    least: int = 0
+    ignore_case: bool = False
+    drops: bool = False
+    scan: int = 1
+
+    def pattern(self, least: int) -> str:
+        return f"{self.head}{self.tail}{{{least},}}" if self.tail else self.head
+
+
+RULES: dict[str, Rule] = {
+    "assign": Rule(r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?", "[A-Za-z0-9+/_.=-]", 12, ignore_case=True, drops=True),
+    "access": Rule("AKIA", "[A-Z0-9]", 14, drops=True),
+    "hex": Rule("", "[0-9a-f]", 16, scan=16),
+    "github": Rule("gh[pousr]_", "[A-Za-z0-9]", 36),
+    "slack": Rule("xox[abprs]-[0-9]{10,}", "(?:-[A-Za-z0-9]+)", scan=0),
+    "stripe": Rule("[sr]k_live_", "[A-Za-z0-9]", 16),
+    "private_key": Rule(r"-----BEGIN\x20[A-Z]*\x20?PRIVATE\x20KEY-----"),
 }
 
 SPANS = "array<struct<kind:string,start:long,end:long>>"
@@ -51,38 +55,60 @@ SPANS = "array<struct<kind:string,start:long,end:long>>"
 SLICE = 4 << 20
 
 
-def spans_in(text: str, kinds: list[str]) -> list[tuple[str, int, int]]:
-    found = []
-    for kind in kinds:
-        pattern, holds = LOCATE[kind]
-        found += [(kind, m.start(), m.end()) for m in pattern.finditer(text) if holds(m)]
-    rank = {k: i for i, k in enumerate(RULES)}
-    return sorted(found, key=lambda x: (x[1], rank[x[0]], x[2]))
-
-
-def scan(dfa: A.Dfa, texts: list[bytes]) -> list[list[tuple[str, int, int]]]:
-    """The secrets in each text, sorted by start and kind."""
-    lines: list[bytes] = []
-    owner: list[int] = []
-    first: list[int] = []
-    for i, text in enumerate(texts):
-        own = text.split(b"\n")
-        first.append(len(lines))
-        lines += own
-        owner += [i] * len(own)
-    masks = A.hits(dfa, lines)
+@dataclass(frozen=True)
+class Scanner:
+    """backward: where matches with ``scan`` tails begin; forward: by rule, a bit for those and one for matches with ``least``."""
+
+    backward: A.Dfa
+    forward: A.Dfa
+
+
+def compiled(rules: dict[str, Rule] = RULES) -> Scanner:
+    scan = {n: (r.pattern(r.scan), r.ignore_case) for n, r in rules.items()}
+    least = {f"{n}!": (r.pattern(r.least), r.ignore_case) for n, r in rules.items()}
+    return Scanner(A.compiled(scan, backward=True), A.compiled(scan | least))
+
+
+def _spans(walker: A.Walker, data: bytes, begins: np.ndarray, bit: int, whole: int, drops: bool) -> list[tuple[int, int]]:
+    """Of the matches that begin at ``begins``, those that hold: leftmost, none before the end of the last."""
+    found, at, i = [], 0, 0
+    while i < len(begins):
+        start = int(begins[i])
+        loose, full = walker.ends(data, start, bit, whole)
+        if full >= 0 and (full == loose or not drops):
+            found.append((start, full))
+        at = loose if drops else max(full, start + 1)
+        i = int(np.searchsorted(begins, at))
+    return found
+
+
+def scan(scanner: Scanner, texts: list[bytes]) -> list[list[tuple[str, int, int]]]:
+    """The secrets in each text (kind, start, end in code points), sorted by start and kind. No rule crosses a line end."""
+    data = b"\n".join(texts)
+    where, bits = A.starts(scanner.backward, data)
     found: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-    text, at, done = -1, 0, 0  # line ``done`` of the text starts at code point ``at``
-    for j in np.flatnonzero(masks).tolist():
-        if owner[j] != text:
-            text, at, done = owner[j], 0, first[owner[j]]
-        at += sum(len(x.decode()) + 1 for x in lines[done:j])
-        done = j
-        found[text] += [(k, at + a, at + z) for k, a, z in spans_in(lines[j].decode(), A.matched_rules(dfa, int(masks[j])))]
+    if not len(where):
+        return found
+    walker = A.Walker(scanner.forward)
+    lengths = np.array([len(t) + 1 for t in texts])
+    begin = np.cumsum(lengths) - lengths
+    spans = []
+    for rank, (kind, rule) in enumerate(RULES.items()):
+        own = _spans(walker, data, where[bits >> rank & 1 == 1], 1 << rank, 1 << (rank + len(RULES)), rule.drops)
+        spans += [(a, rank, kind, z) for a, z in own]
+    spans.sort()
+    owner = np.searchsorted(begin, [a for a, *_ in spans], side="right") - 1
+    cut = np.flatnonzero(np.diff(owner, prepend=-1)).tolist() + [len(spans)]
+    for low, high in itertools.pairwise(cut):
+        i = int(owner[low])
+        raw, first = np.frombuffer(texts[i], np.uint8), int(begin[i])
+        # A code point starts at every byte that does not carry one on.
+        points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+        found[i] = [(kind, int(points[a - first]), int(points[z - first])) for a, _, kind, z in spans[low:high]]
     return found
 
 
-def _scanner(dfa: A.Dfa):
+def _scanner(scanner: Scanner):
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +121,7 @@ def _scanner(dfa: A.Dfa):
                     some.append(text[i].as_py())
                     size += len(some[-1])
                     i += 1
-                found += scan(dfa, some)
+                found += scan(scanner, some)
             rows = [[{"kind": k, "start": a, "end": z} for k, a, z in own] for own in found]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, kind)], ["doc_id", "secrets"])
 
@@ -109,7 +135,7 @@ def secrets(docs: DataFrame) -> DataFrame:
     """
     rows = C.pick(docs, "doc_id", "text").select("doc_id", C.whole().alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_scanner(A.compiled(RULES)), f"doc_id {id_type}, secrets {SPANS}")
+    return rows.mapInArrow(_scanner(compiled()), f"doc_id {id_type}, secrets {SPANS}")
 
 
 def listed(spans: Column) -> Column:

@@ -21,23 +21,50 @@ def base(text):
     return [(k, m.start(), m.end()) for k, m in found]
 
 
-def test_automaton_agrees_with_re_on_random_texts():
-    dfa = A.compiled(S.RULES)
-    patterns = {n: re.compile(p.encode(), re.I if fold else 0) for n, (p, fold) in S.RULES.items()}
+#: What the rules mean: pattern, and what a match must satisfy besides.
+MEANT = {
+    "assign": (ASSIGN, lambda m: len(m[2]) >= 12),
+    "access": (re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 18),
+    "hex": (re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 16),
+    "github": (re.compile("gh[pousr]_[A-Za-z0-9]{36,}"), lambda m: True),
+    "slack": (re.compile("xox[abprs]-[0-9]{10,}(?:-[A-Za-z0-9]+)*"), lambda m: True),
+    "stripe": (re.compile("[sr]k_live_[A-Za-z0-9]{16,}"), lambda m: True),
+    "private_key": (re.compile(r"-----BEGIN\x20[A-Z]*\x20?PRIVATE\x20KEY-----"), lambda m: True),
+}
+
+
+def meant(text):
+    found = [(m.start(), i, m.end(), k) for i, (k, (p, holds)) in enumerate(MEANT.items()) for m in p.finditer(text) if holds(m)]
+    return [(k, a, z) for a, _, z, k in sorted(found)]
+
+
+BITS = ["token", "Api_Key", "=", ":", " ", '"', "AKIA", "ABCDEF1234567890", "0123456789abcdef", "ghp_", "é", "x" * 40, "token=abcdefghijkl", "secret: ",
+        "sk_live_", "xoxb-1234567890", "-----BEGIN RSA PRIVATE KEY-----", "password", "a", "\n", "F00", "\r\n", "\u2028", "-", "_", ",", "AKI", "A" * 9, "b" * 11]
+
+
+def test_spans_of_all_rules_on_random_texts():
     rng = random.Random(3)
-    bits = ["token", "Api_Key", "=", ":", " ", '"', "AKIA", "ABCDEF1234567890", "0123456789abcdef", "ghp_", "é", "x" * 40,
-            "sk_live_", "xoxb-1234567890", "-----BEGIN RSA PRIVATE KEY-----", "password", "a", "\n", "F00"]
-    texts = ["".join(rng.choices(bits, k=rng.randint(0, 12))).encode() for _ in range(4000)] + [b"deadbeef" * 5000, b"z" * 30_000]
-    masks = A.hits(dfa, texts)
-    for text, mask in zip(texts, masks, strict=True):
-        want = sum(1 << i for i, p in enumerate(patterns.values()) if p.search(text))
-        assert want == mask, text
+    texts = ["".join(rng.choices(BITS, k=rng.randint(0, 15))) for _ in range(6000)] + ["deadbeef" * 5000, "z" * 30_000, "ghp_" * 5000, "", "é"]
+    assert S.scan(S.compiled(), [t.encode() for t in texts]) == [meant(t) for t in texts]
+    scanner = S.compiled()
+    assert [S.scan(scanner, [t.encode()])[0] for t in texts[:500]] == [meant(t) for t in texts[:500]]
+
+
+def test_backward_automaton_tells_where_matches_begin():
+    rules = {"a": ("(a|b)c{2,3}", False), "b": ("[x-z]+1?", True), "c": ("cc", False)}
+    dfa, rng = A.compiled(rules, backward=True), random.Random(2)
+    for _ in range(300):
+        text = "".join(rng.choices("abcxyZ1\n-", k=rng.randint(0, 60)))
+        where, bits = A.starts(dfa, text.encode())
+        want = [(i, sum(1 << b for b, (p, fold) in enumerate(rules.values()) if re.compile(p, re.I if fold else 0).match(text, i))) for i in range(len(text))]
+        assert list(zip(where.tolist(), bits.tolist(), strict=True)) == [(i, m) for i, m in want if m], text
 
 
 def test_minimal_automaton_has_no_equal_states():
-    dfa = A.compiled({"a": ("(a|b)c{2,3}", False), "b": ("[x-z]+1?", True)})
-    table, accept = A.minimised(dfa.table, dfa.accept)
-    assert len(table) == len(dfa.table) and np.array_equal(np.sort(accept), np.sort(dfa.accept))
+    for backward in (False, True):
+        dfa = A.compiled({"a": ("(a|b)c{2,3}", False), "b": ("[x-z]+1?", True)}, backward)
+        table, accept = A.minimised(dfa.table, dfa.accept)
+        assert len(table) == len(dfa.table) and np.array_equal(np.sort(accept), np.sort(dfa.accept))
 
 
 def test_query_on_all_documents(spark):
@@ -61,20 +88,7 @@ def test_odd_and_empty_tables(odd, empty):
 def test_positions_and_dropped_matches(spark):
     cases = ["é token: 'abcdefghijkl'", "token=token:abcdefghijklmnop", "secret=token=abcdefghijklmnop", "AKIA" + "B" * 13, "AKIA" + "B" * 14,
              "0123456789abcde", "0123456789abcdef0", "PASSWORD = aaaaaaaaaaaa", "aİpi_key=abcdefghijkl", "ghp_" + "a" * 36]
-    dfa = A.compiled(S.RULES)
+    dfa = S.compiled()
     for text, found in zip(cases, S.scan(dfa, [c.encode() for c in cases]), strict=True):
         assert [x for x in found if x[0] in S.BASE] == base(text)
     assert S.scan(dfa, [("ghp_" + "a" * 36).encode()])[0][0] == ("github", 0, 40)
-
-
-def test_only_lines_that_the_automaton_flags_are_searched(monkeypatch):
-    dfa, seen, searched = A.compiled(S.RULES), [], S.spans_in
-    monkeypatch.setattr(S, "spans_in", lambda text, kinds: seen.append((text, kinds)) or searched(text, kinds))
-    text = "é plain\n" * 1000 + "token: x\nkey AKIA" + "B" * 16 + " ü\n" + "ü\n" * 500 + "0123456789abcdef0 ghp_" + "a" * 36 + "\nend"
-    (found,) = S.scan(dfa, [text.encode()])
-    assert seen == [("token: x", ["assign"]), ("key AKIA" + "B" * 16 + " ü", ["access"]), ("0123456789abcdef0 ghp_" + "a" * 36, ["hex", "github"])]
-    assert found == searched(text, list(S.RULES)) and len(found) == 4
-    rng = random.Random(5)
-    bits = ["token=abcdefghijkl", "secret: ", "AKIA" + "C" * 14, "\n", "\r\n", "é", "0123456789abcdef", "\u2028", " ", "x"]
-    texts = ["".join(rng.choices(bits, k=rng.randint(0, 15))) for _ in range(2000)]
-    assert S.scan(dfa, [t.encode() for t in texts]) == [searched(t, list(S.RULES)) for t in texts]
