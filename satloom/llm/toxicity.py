@@ -1,20 +1,21 @@
 """Toxicity by a weighted finite-state grammar of clauses.
 
-Words become classes: insult, threat, target, negation, reported speech, other. Three letter-to-letter transducers mark the
-insults and threats of a clause as negated, reported or aimed at somebody; they are composed into one deterministic table. Each
-marked cue is evidence by the weight of its word times that of its marks; the cues of a document add up as independent causes
-do, and a monotone curve turns the sum into a score. The insult lexicon (words and stems), all weights and the curve are
-learned from labelled rows.
+Five transducers are composed. Two, for insults and threats, read words along the paths of learned phrases and write a cue where a
+phrase ends, or else the word's class. Three mark the cues: as negated by a word shortly before, as reported by a word anywhere in the
+clause, as aimed at a target nearby; the latter two in a pass from each end of the clause. What comes out of a clause, the set of
+its marked cues, has a weight: the joint trust in its phrases times the factor of its kind (which cues with which marks). The
+clauses of a document add up as independent causes do, and a monotone curve turns the sum into a score. Phrases, factors and
+curve are learned from labelled rows.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,27 +34,58 @@ SEEDS: dict[int, str] = {
     INSULT: "idiot moron stupid loser scum pathetic worthless disgusting idiota imbécile connard arschloch dummkopf estúpido imbécil",
     THREAT: "kill hurt destroy shoot stab beat töten verletzen tuer frapper matar golpear",
 }
-TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n]")
+#: Words, and what ends a clause; the JVM and Python read it alike.
+TOKENS = r"\p{L}+|[.!?;:\n]"
+TOKEN = regex.compile(TOKENS)
 ENDS = set(".!?;:\n")
 
 
 @dataclass(frozen=True)
 class Learning:
     """rows: labelled rows that are learned from at most, those of lowest hash; support: toxic rows, and distinct surroundings (the
-    words before and after) in them, that a cue needs; precision: share of a cue's rows that are toxic;
-    cues: at most so many are kept, the best supported; stems: lengths of word beginnings that can be cues, if words that are no
-    cues by themselves support them.
+    words before and after) in them, that a phrase needs; precision: share of a phrase's rows that are toxic. Words come first; then
+    stems (word beginnings of these lengths) and pairs of words, of words that are no cues by themselves.
     """
 
     rows: int = 20_000
     support: int = 6
     precision: float = 0.9
-    cues: int = 5_000
-    candidates: int = 100_000
     stems: tuple[int, ...] = (4, 5, 6, 7)
     seed: int = 41
 
 
+class Phrases:
+    """A transducer from words to cues: the paths of ``trusts`` (phrases, words with spaces between; a stem ends in ``~``).
+
+    A state is the longest end of the words read that begins a phrase. ``step`` gives the next one and, where phrases end, the
+    longest of them with its trust.
+    """
+
+    def __init__(self, trusts: dict[str, float], stems: tuple[int, ...] = ()) -> None:
+        self.stems = tuple(sorted(stems, reverse=True))
+        self.trusts = trusts
+        paths = [tuple(p.split(" ")) for p in trusts]
+        self.begun = {p[:n] for p in paths for n in range(len(p) + 1)}
+        self.known: dict[tuple[tuple[str, ...], str], tuple[tuple[str, ...], str | None]] = {}
+        #: Words without which no phrase ends, and stems likewise.
+        self.last = {p[-1] for p in paths if not p[-1].endswith("~")}
+        self.stemmed = {p[0] for p in paths if p[-1].endswith("~")}
+
+    def step(self, state: tuple[str, ...], word: str) -> tuple[tuple[str, ...], str | None]:
+        move = self.known.get((state, word))
+        if move is None:
+            read = (*state, word)
+            cue = next((" ".join(read[i:]) for i in range(len(read)) if " ".join(read[i:]) in self.trusts), None)
+            if cue is None:
+                cue = next((word[:n] + "~" for n in self.stems if len(word) >= n and word[:n] + "~" in self.trusts), None)
+            rest = next(read[i:] for i in range(len(read) + 1) if read[i:] in self.begun)
+            move = rest, cue
+            # Only moves along paths are kept: their number is that of the phrases' words.
+            if rest or cue:
+                self.known[state, word] = move
+        return move
+
+
 @dataclass(frozen=True)
 class Transducer:
     """next[state][symbol] and out[state][symbol], for symbols that are (class, marks) in one number; it starts in state 0."""
@@ -104,72 +136,101 @@ def composed(a: Transducer, b: Transducer) -> Transducer:
     return Transducer(nxt, out)
 
 
-def grammar() -> Transducer:
+def onward() -> Transducer:
+    """Marks by what stands before a cue."""
     return composed(composed(marking(NEGATION, NEGATED, 3), marking(REPORT, REPORTED, None)), marking(TARGET, AIMED, 4))
 
 
+def backward() -> Transducer:
+    """Marks by what stands behind a cue, for a clause read from its end."""
+    return composed(marking(REPORT, REPORTED, None), marking(TARGET, AIMED, 4))
+
+
+def run(machine: Transducer, symbols: Iterable[int]) -> list[int]:
+    state, out = 0, []
+    for x in symbols:
+        out.append(machine.out[state][x])
+        state = machine.next[state][x]
+    return out
+
+
+#: A marked cue: phrase, trust, symbol.
+Cue = tuple[str, float, int]
+
+
 #: Width and number of the steps of evidence that the curve is learned on.
 STEP, STEPS = 0.5, 24
 
 
 @dataclass(frozen=True)
 class Model:
-    """cues: trust in a word, or in a stem written with ``~`` behind it; marks: factor by class and marks; curve: the score at evidence
-    0 and in the middle of each step after it, rising."""
+    """cues: trust in each insult, a word, a phrase or a stem written with ``~`` behind it; threats: likewise; marks: factor by class and
+    marks; curve: the score at evidence 0 and in the middle of each step after it, rising; kinds: factor by the kind of a clause, where one
+    is learned."""
 
     cues: dict[str, float]
     marks: dict[int, float]
     curve: list[float]
     stems: tuple[int, ...] = Learning.stems
-    table: Transducer = field(default_factory=grammar)
-    classes: dict[str, int] = field(default_factory=lambda: {w: c for c, ws in SEEDS.items() for w in ws.split() if c != INSULT})
-
-    def trust(self, word: str) -> float:
-        """0 for a word that is no insult."""
-        best = self.cues.get(word, 0.0)
-        for n in self.stems:
-            if len(word) >= n:
-                best = max(best, self.cues.get(word[:n] + "~", 0.0))
-        return best
-
-    def found(self, text: str) -> list[tuple[str, float, int]]:
-        """Word, trust and marked symbol of each insult and threat, clause by clause."""
-        tokens = TOKEN.findall(text.lower())
-        trusts = {w: t for w in set(tokens) if (t := self.trust(w)) > 0 or self.classes.get(w) == THREAT}
-        if not trusts:
-            return []
-        evidence = []
-        # Only clauses that hold a cue are read.
-        cues = [i for i, w in enumerate(tokens) if w in trusts]
-        done = -1
-        for i in cues:
-            if i <= done:
-                continue
-            a = i
-            while a > 0 and tokens[a - 1] not in ENDS:
-                a -= 1
-            state, done = 0, a
-            while done < len(tokens) and tokens[done] not in ENDS:
-                w = tokens[done]
-                t = trusts.get(w)
-                cls = INSULT if t else self.classes.get(w, OTHER)
-                x = symbol(cls)
-                y = self.table.out[state][x]
-                state = self.table.next[state][x]
-                if cls >= INSULT:
-                    evidence.append((w, t or 1.0, y))
-                done += 1
-        return evidence
+    threats: dict[str, float] = field(default_factory=lambda: dict.fromkeys(SEEDS[THREAT].split(), 1.0))
+    kinds: dict[tuple[int, ...], float] = field(default_factory=dict)
+    classes: dict[str, int] = field(default_factory=lambda: {w: c for c, ws in SEEDS.items() for w in ws.split() if c < INSULT})
+
+    def __post_init__(self) -> None:
+        for name, value in (("insult", Phrases(self.cues, self.stems)), ("threat", Phrases(self.threats)), ("onward", onward()), ("backward", backward())):
+            object.__setattr__(self, name, value)
+
+    def clause(self, words: list[str]) -> list[Cue]:
+        """The marked cues of a clause, in order."""
+        insult, threat, symbols, cues = (), (), [], []
+        for w in words:
+            insult, cue = self.insult.step(insult, w)
+            threat, other = self.threat.step(threat, w)
+            cls = INSULT if cue else THREAT if other else self.classes.get(w, OTHER)
+            symbols.append(symbol(cls))
+            cues.append((cue, self.cues[cue]) if cue else (other, self.threats[other]) if other else None)
+        marked = run(self.backward, reversed(run(self.onward, symbols)))[::-1]
+        return [(*cue, y) for cue, y in zip(cues, marked, strict=True) if cue]
+
+    def clauses(self, text: str) -> Iterator[list[Cue]]:
+        """The clauses of ``text`` (lower case) that hold a cue; others are passed over by a look at their words."""
+        words: list[str] = []
+        hit = False
+        for w in TOKEN.findall(text):
+            if w in ENDS:
+                if hit and (found := self.clause(words)):
+                    yield found
+                words, hit = [], False
+            else:
+                words.append(w)
+                hit = hit or self.may_end(w)
+        if hit and (found := self.clause(words)):
+            yield found
+
+    def may_end(self, word: str) -> bool:
+        return word in self.insult.last or word in self.threat.last or any(word[:n] + "~" in self.insult.stemmed for n in self.stems)
+
+    def found(self, text: str) -> list[Cue]:
+        """The marked cues of ``text``, clause by clause."""
+        return [cue for own in self.clauses(text.lower()) for cue in own]
+
+    def weight(self, clause: list[Cue]) -> float:
+        """How sure a clause makes: joint trust in its phrases (what it repeats counts once) times the factor of its kind."""
+        trusts = {cue: trust for cue, trust, _ in clause}
+        kind = kind_of(clause)
+        factor = self.kinds.get(kind, max(self.marks.get(y, 0.5) for y in kind))
+        return factor * (1.0 - math.prod(1.0 - min(0.999, t) for t in trusts.values()))
 
     def evidence(self, text: str) -> float:
-        """Of each cue the strongest use counts; 0 if there is none."""
-        best: dict[str, float] = {}
-        for word, trust, y in self.found(text):
-            best[word] = max(best.get(word, 0.0), trust * self.marks.get(y, 0.5))
-        return -sum(math.log(1.0 - min(0.999, p)) for p in best.values())
+        """Over the clauses of ``text`` (lower case), those that say the same once; 0 if there is none."""
+        own = {frozenset((cue, y) for cue, _, y in clause): self.weight(clause) for clause in self.clauses(text)}
+        return -math.fsum(math.log(1.0 - min(0.9999, p)) for p in own.values())
 
     def score(self, text: str) -> float:
-        e = self.evidence(text)
+        return self.at(self.evidence(text.lower()))
+
+    def at(self, e: float) -> float:
+        """The curve at evidence ``e``."""
         if e <= 0:
             return self.curve[0]
         at = min(max(e / STEP + 0.5, 0.0), STEPS)
@@ -178,6 +239,10 @@ class Model:
         return self.curve[low] + (self.curve[high] - self.curve[low]) * (at - low)
 
 
+def kind_of(clause: list[Cue]) -> tuple[int, ...]:
+    return tuple(sorted({y for _, _, y in clause}))
+
+
 def step_of(evidence: float) -> int:
     return 0 if evidence <= 0 else min(STEPS, int(evidence / STEP) + 1)
 
@@ -214,8 +279,8 @@ def default_marks() -> dict[int, float]:
     return marks
 
 
-def letters(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
+def tokens(lowered: Column) -> Column:
+    return F.regexp_extract_all(lowered, F.lit(TOKENS), F.lit(0))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -224,79 +289,111 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training(docs: DataFrame, labels: DataFrame, how: Learning) -> DataFrame:
-    """(text, toxic) of at most ``how.rows`` labelled rows outside the held-out fifth."""
+    """(text in lower case, toxic) of at most ``how.rows`` labelled rows outside the held-out fifth."""
     known = C.pick(labels, "doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.orderBy(F.xxhash64(F.lit(how.seed), "doc_id"), "doc_id").limit(how.rows)
     # Bounded by how.rows, and so sent whole to each task.
-    return C.pick(docs, "doc_id", "text").select("doc_id", C.whole().alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    return C.pick(docs, "doc_id", "text").select("doc_id", C.whole().alias("text")).join(F.broadcast(chosen), "doc_id").select(F.lower("text").alias("text"), "toxic")
 
 
-def learned(docs: DataFrame, labels: DataFrame, how: Learning = Learning()) -> Model:
-    """The model that the labelled rows of ``docs`` give; without any, the seeds with their default weights."""
-    rows = C.stored(training(docs, labels, how), f"{C.shared_dir(docs.sparkSession)}/training")
-    words = rows.select("toxic", letters(F.col("text")).alias("w"))
+def _supported(seen: DataFrame, clean: DataFrame, how: Learning) -> DataFrame:
+    """cue, trust and t of the supported cues of ``seen`` (row, cue, around); what one text repeats counts once, and what copies of a text
+    share too. ``clean``: a row for each clean text and cue in it."""
+    toxic = seen.groupBy("cue").agg(F.least(F.countDistinct("row"), F.countDistinct("around")).alias("t")).where(F.col("t") >= how.support)
+    toxic = C.checkpointed(toxic)
+    against = clean.join(toxic.select("cue"), "cue", "left_semi").groupBy("cue").agg(F.count(F.lit(1)).alias("c"))
+    ratio = F.col("t") / (F.col("t") + F.coalesce("c", F.lit(0)) + 0.05)
+    return C.checkpointed(toxic.join(against, "cue", "left").select("cue", ratio.alias("trust"), "t"))
+
+
+def _phrases(rows: DataFrame, how: Learning) -> tuple[dict[str, float], set[str]]:
+    """Trust in the phrases that ``rows`` (text, toxic) support, and those seeds among all words that they refute.
+
+    All of it is bounded by the number of rows and the support.
+    """
+    shifted = lambda by: F.slice("w", by + 1, F.greatest(F.size("w"), F.lit(1)))
+    words = rows.select(F.monotonically_increasing_id().alias("row"), "toxic", tokens(F.col("text")).alias("w"))
+    words = words.withColumns({"before": F.concat(F.array(F.lit(None).cast("string")), "w"), "after": shifted(1), "then": shifted(2)})
+    words = words.select("row", "toxic", F.explode(F.arrays_zip("w", "before", "after", "then")).alias("x")).select("row", "toxic", "x.*")
+    words = C.stored(words.where(~F.col("w").isin(*ENDS)), f"{C.shared_dir(rows.sparkSession)}/words")
 
     def stems(word: Column) -> Column:
         cut = [F.when(F.length(word) >= n, F.concat(F.substring(word, 1, n), F.lit("~"))) for n in how.stems]
         return F.filter(F.array(*cut), lambda s: s.isNotNull())
 
-    def trusted(seen: DataFrame, clean_cues: DataFrame) -> DataFrame:
-        """cue, trust and t of the supported cues; what one text repeats counts once, and what copies of a text share too."""
-        toxic = seen.groupBy("cue").agg(F.least(F.countDistinct("row"), F.countDistinct("around")).alias("t")).where(F.col("t") >= how.support)
-        toxic = C.checkpointed(toxic.orderBy(F.desc("t"), "cue").limit(how.candidates))
-        clean = clean_cues.join(F.broadcast(toxic.select("cue")), "cue", "left_semi").groupBy("cue").agg(F.count(F.lit(1)).alias("c"))
-        ratio = F.col("t") / (F.col("t") + F.coalesce("c", F.lit(0)) + 0.05)
-        return C.checkpointed(toxic.join(F.broadcast(clean), "cue", "left").select("cue", ratio.alias("trust"), "t"))
-
-    seen = words.where("toxic = 1").select(F.monotonically_increasing_id().alias("row"), F.posexplode("w").alias("i", "cue"), "w")
-    seen = seen.select("row", "cue", F.xxhash64(F.get("w", F.col("i") - 1), F.get("w", F.col("i") + 1)).alias("around"))
-    clean = words.where("toxic = 0").select(F.array_distinct("w").alias("w"))
-    whole = trusted(seen, clean.select(F.explode("w").alias("cue")))
+    def trusted(seen: DataFrame, cue: Column, around: Column) -> DataFrame:
+        own = seen.select("row", "toxic", cue.alias("cue"), around.alias("around")).where("cue IS NOT NULL")
+        return _supported(own.where("toxic = 1"), own.where("toxic = 0").select("row", "cue").distinct(), how)
+
+    near = F.xxhash64("before", "after")
+    whole = trusted(words, F.col("w"), near)
     sure = F.col("trust") >= how.precision
-    # At most how.candidates words.
-    rest = seen.join(F.broadcast(whole.where(sure).select("cue")), "cue", "left_anti")
-    begun = trusted(
-        rest.select("row", "around", F.explode(stems(F.col("cue"))).alias("cue")),
-        clean.select(F.explode(F.array_distinct(F.flatten(F.transform("w", stems)))).alias("cue")),
-    )
-    kept = whole.unionByName(begun).where(sure).orderBy(F.desc("t"), "cue").limit(how.cues).collect()
-    refuted_rows = whole.where(F.col("cue").isin(*SEEDS[INSULT].split()) & ~sure)
-    seeds = set(SEEDS[INSULT].split())
-    refuted = {r["cue"] for r in refuted_rows.collect()}
-    cues = dict.fromkeys(sorted(seeds - refuted), 0.6) | {r["cue"]: float(r["trust"]) for r in kept}
-    model = Model(cues, default_marks(), curve({}), how.stems)
-
-    def marks(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    rest = words.join(whole.where(sure).select(F.col("cue").alias("w")), "w", "left_anti")
+    begun = trusted(rest, F.explode(stems(F.col("w"))), near)
+    # A pair whose second word is a cue by itself says no more than that.
+    second = whole.where(sure).select(F.col("cue").alias("after"))
+    paired = rest.where(F.col("after").isNotNull() & ~F.col("after").isin(*ENDS)).join(second, "after", "left_anti")
+    pairs = trusted(paired, F.concat_ws(" ", "w", "after"), F.xxhash64("before", "then"))
+    kept = whole.unionByName(begun).unionByName(pairs).where(sure).collect()
+    refuted = whole.where(F.col("cue").isin(*SEEDS[INSULT].split()) & ~sure).collect()
+    return {r["cue"]: float(r["trust"]) for r in kept}, {r["cue"] for r in refuted}
+
+
+def learned(docs: DataFrame, labels: DataFrame, how: Learning = Learning()) -> Model:
+    """The model that the labelled rows of ``docs`` give; without any, the seeds with their default weights."""
+    rows = C.stored(training(docs, labels, how), f"{C.shared_dir(docs.sparkSession)}/training")
+    phrases, refuted = _phrases(rows, how)
+    threatening = set(SEEDS[THREAT].split())
+    # A pair with a threat in it is a path of the threats.
+    threats = dict.fromkeys(sorted(threatening), 1.0) | {p: t for p, t in sorted(phrases.items()) if " " in p and threatening & set(p.split(" "))}
+    cues = dict.fromkeys(sorted(set(SEEDS[INSULT].split()) - refuted), 0.6) | {p: t for p, t in sorted(phrases.items()) if p not in threats}
+    model = Model(cues, default_marks(), curve({}), how.stems, threats)
+
+    def kinds(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            found = [sorted({y for _, _, y in model.found(t)}) for t in rows["text"]]
-            # Rows with one kind of evidence tell what that is worth.
-            yield pd.DataFrame({"kind": [x[0] if len(x) == 1 else -1 for x in found], "toxic": rows["toxic"]})
+            found = [{kind_of(c) for c in model.clauses(t)} for t in rows["text"]]
+            # Rows with clauses of one kind tell what that is worth.
+            yield pd.DataFrame({"kind": [" ".join(map(str, *x)) if len(x) == 1 else "" for x in found], "toxic": rows["toxic"]})
 
-    counts = rows.mapInPandas(marks, "kind int, toxic int").groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t"))
-    by = {r["kind"]: (r["n"], r["t"]) for r in counts.collect()}
-    factor = {y: (t + 4 * f) / (n + 4) for y, f in model.marks.items() for n, t in [by.get(y, (0, 0))]}
-    weighed = Model(cues, factor, curve({}), how.stems)
+    counts = rows.mapInPandas(kinds, "kind string, toxic int").where("kind <> ''").groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t"))
+    factors = {}
+    for r in counts.collect():
+        kind = tuple(map(int, r["kind"].split()))
+        factors[kind] = (r["t"] + 4 * max(model.marks[y] for y in kind)) / (r["n"] + 4)
+    weighed = Model(cues, model.marks, model.curve, how.stems, threats, factors)
 
     def steps(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             yield pd.DataFrame({"step": [step_of(weighed.evidence(t)) for t in rows["text"]], "toxic": rows["toxic"]})
 
     counts = rows.mapInPandas(steps, "step int, toxic int").groupBy("step").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t"))
-    return Model(cues, factor, curve({r["step"]: (r["n"], r["t"]) for r in counts.collect()}), how.stems)
+    return Model(cues, model.marks, curve({r["step"]: (r["n"], r["t"]) for r in counts.collect()}), how.stems, threats, factors)
+
+
+def may_hold(lowered: Column, model: Model) -> Column:
+    """Whether a text (lower case) holds a word without which no clause of it can hold a cue."""
+    words = tokens(lowered)
+    found = F.arrays_overlap(words, F.lit(sorted(model.insult.last | model.threat.last)))
+    if model.insult.stemmed:
+        begun = lambda w: F.coalesce(F.arrays_overlap(F.array(*(F.concat(F.substring(w, 1, n), F.lit("~")) for n in model.stems)), F.lit(sorted(model.insult.stemmed))), F.lit(False))
+        found = found | F.exists(words, begun)
+    return found
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score and predicted (score of 0.5 or more) of each row; null and empty texts score as texts without cues.
 
-    Repeated rows each give a row, an empty table none; of ``docs`` only text enters the score.
+    Repeated rows each give a row, an empty table none; of ``docs`` only text enters the score. Only texts that hold a word of some phrase
+    are read in Python; the others have no evidence.
     """
-    rows = C.pick(docs, "doc_id", "text").select("doc_id", C.whole().alias("text"))
+    rows = C.pick(docs, "doc_id", "text").select("doc_id", F.lower(C.whole()).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
+    rows = rows.select("doc_id", F.when(may_hold(F.col("text"), model), F.col("text")).otherwise("").alias("text"))
 
     def scores(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for own in batches:
-            yield pd.DataFrame({"doc_id": own["doc_id"], "score": [model.score(t) for t in own["text"]]})
+            yield pd.DataFrame({"doc_id": own["doc_id"], "score": [model.at(model.evidence(t)) if t else model.curve[0] for t in own["text"]]})
 
     # A missing doc_id must not turn the others into floats on the way.
     out = rows.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(scores, "doc_id string, score double")
