@@ -26,6 +26,9 @@ OTHER, TARGET, NEGATION, REPORT, INSULT, THREAT = range(6)
 #: Marks of a cue, as bits.
 NEGATED, REPORTED, AIMED = 1, 2, 4
 
+#: Cues that are sent to every task at most; more of them are joined by a shuffle.
+MAX_SENT = 200_000
+
 #: Where learning starts from; fixed values.
 SEEDS: dict[int, str] = {
     TARGET: "you your yours yourself u ur he she they them him her people du dich dir ihr euch tu te toi vous él ella tú ti usted ustedes",
@@ -214,17 +217,22 @@ class Model:
         """The marked cues of ``text``, clause by clause."""
         return [cue for own in self.clauses(text.lower()) for cue in own]
 
-    def weight(self, clause: list[Cue]) -> float:
-        """How sure a clause makes: joint trust in its phrases (what it repeats counts once) times the factor of its kind."""
-        trusts = {cue: trust for cue, trust, _ in clause}
-        kind = kind_of(clause)
-        factor = self.kinds.get(kind, max(self.marks.get(y, 0.5) for y in kind))
-        return factor * (1.0 - math.prod(1.0 - min(0.999, t) for t in trusts.values()))
+    def said(self, text: str) -> list[tuple[tuple[int, ...], float]]:
+        """Of each clause of ``text`` (lower case) that holds a cue its kind, and the joint trust in its phrases (what it repeats counts
+        once); of clauses that say the same the first."""
+        own = {frozenset((cue, y) for cue, _, y in c): c for c in self.clauses(text)}
+        joint = lambda c: 1.0 - math.prod(1.0 - min(0.999, t) for t in {cue: t for cue, t, _ in c}.values())
+        return [(tuple(sorted({y for _, _, y in c})), joint(c)) for c in own.values()]
+
+    def factor(self, kind: tuple[int, ...]) -> float:
+        return self.kinds.get(kind, max(self.marks.get(y, 0.5) for y in kind))
+
+    def total(self, said: list[tuple[tuple[int, ...], float]]) -> float:
+        """The evidence of clauses; 0 if there is none."""
+        return -math.fsum(math.log(1.0 - min(0.9999, trust * self.factor(kind))) for kind, trust in said)
 
     def evidence(self, text: str) -> float:
-        """Over the clauses of ``text`` (lower case), those that say the same once; 0 if there is none."""
-        own = {frozenset((cue, y) for cue, _, y in clause): self.weight(clause) for clause in self.clauses(text)}
-        return -math.fsum(math.log(1.0 - min(0.9999, p)) for p in own.values())
+        return self.total(self.said(text))
 
     def score(self, text: str) -> float:
         return self.at(self.evidence(text.lower()))
@@ -239,10 +247,6 @@ class Model:
         return self.curve[low] + (self.curve[high] - self.curve[low]) * (at - low)
 
 
-def kind_of(clause: list[Cue]) -> tuple[int, ...]:
-    return tuple(sorted({y for _, _, y in clause}))
-
-
 def step_of(evidence: float) -> int:
     return 0 if evidence <= 0 else min(STEPS, int(evidence / STEP) + 1)
 
@@ -298,13 +302,14 @@ def training(docs: DataFrame, labels: DataFrame, how: Learning) -> DataFrame:
 
 
 def _supported(seen: DataFrame, clean: DataFrame, how: Learning) -> DataFrame:
-    """cue, trust and t of the supported cues of ``seen`` (row, cue, around); what one text repeats counts once, and what copies of a text
-    share too. ``clean``: a row for each clean text and cue in it."""
+    """cue and trust of the supported cues of ``seen`` (row, cue, around); what one text repeats counts once, and what copies of a text
+    share too. ``clean``: (row, cue) of the cues in clean texts."""
     toxic = seen.groupBy("cue").agg(F.least(F.countDistinct("row"), F.countDistinct("around")).alias("t")).where(F.col("t") >= how.support)
     toxic = C.checkpointed(toxic)
-    against = clean.join(toxic.select("cue"), "cue", "left_semi").groupBy("cue").agg(F.count(F.lit(1)).alias("c"))
+    wanted = F.broadcast(toxic.select("cue")) if toxic.count() <= MAX_SENT else toxic.select("cue")
+    against = clean.join(wanted, "cue", "left_semi").distinct().groupBy("cue").agg(F.count(F.lit(1)).alias("c"))
     ratio = F.col("t") / (F.col("t") + F.coalesce("c", F.lit(0)) + 0.05)
-    return C.checkpointed(toxic.join(against, "cue", "left").select("cue", ratio.alias("trust"), "t"))
+    return toxic.join(against, "cue", "left").select("cue", ratio.alias("trust"))
 
 
 def _phrases(rows: DataFrame, how: Learning) -> tuple[dict[str, float], set[str]]:
@@ -318,24 +323,24 @@ def _phrases(rows: DataFrame, how: Learning) -> tuple[dict[str, float], set[str]
     words = words.select("row", "toxic", F.explode(F.arrays_zip("w", "before", "after", "then")).alias("x")).select("row", "toxic", "x.*")
     words = C.stored(words.where(~F.col("w").isin(*ENDS)), f"{C.shared_dir(rows.sparkSession)}/words")
 
-    def stems(word: Column) -> Column:
-        cut = [F.when(F.length(word) >= n, F.concat(F.substring(word, 1, n), F.lit("~"))) for n in how.stems]
-        return F.filter(F.array(*cut), lambda s: s.isNotNull())
-
-    def trusted(seen: DataFrame, cue: Column, around: Column) -> DataFrame:
-        own = seen.select("row", "toxic", cue.alias("cue"), around.alias("around")).where("cue IS NOT NULL")
-        return _supported(own.where("toxic = 1"), own.where("toxic = 0").select("row", "cue").distinct(), how)
+    def trusted(seen: DataFrame, *found: tuple[Column, Column]) -> DataFrame:
+        both = F.explode(F.array(*(F.struct(cue.alias("cue"), around.alias("around")) for cue, around in found)))
+        own = seen.select("row", "toxic", both.alias("x")).select("row", "toxic", "x.*").where("cue IS NOT NULL")
+        return _supported(own.where("toxic = 1"), own.where("toxic = 0").select("row", "cue"), how)
 
     near = F.xxhash64("before", "after")
-    whole = trusted(words, F.col("w"), near)
+    whole = C.checkpointed(trusted(words, (F.col("w"), near)))
     sure = F.col("trust") >= how.precision
-    rest = words.join(whole.where(sure).select(F.col("cue").alias("w")), "w", "left_anti")
-    begun = trusted(rest, F.explode(stems(F.col("w"))), near)
+    alone = whole.where(sure).select("cue")
+    alone = F.broadcast(alone) if alone.count() <= MAX_SENT else alone
+    rest = words.join(alone, F.col("w") == F.col("cue"), "left_anti")
     # A pair whose second word is a cue by itself says no more than that.
-    second = whole.where(sure).select(F.col("cue").alias("after"))
-    paired = rest.where(F.col("after").isNotNull() & ~F.col("after").isin(*ENDS)).join(second, "after", "left_anti")
-    pairs = trusted(paired, F.concat_ws(" ", "w", "after"), F.xxhash64("before", "then"))
-    kept = whole.unionByName(begun).unionByName(pairs).where(sure).collect()
+    known = alone.select(F.col("cue").alias("known"))
+    rest = rest.join(known, F.col("after") == F.col("known"), "left")
+    second = F.when(F.col("known").isNull() & F.col("after").isNotNull() & ~F.col("after").isin(*ENDS), F.concat_ws(" ", "w", "after"))
+    begun = [F.when(F.length("w") >= n, F.concat(F.substring("w", 1, n), F.lit("~"))) for n in how.stems]
+    more = trusted(rest, *((stem, near) for stem in begun), (second, F.xxhash64("before", "then")))
+    kept = whole.unionByName(more).where(sure).collect()
     refuted = whole.where(F.col("cue").isin(*SEEDS[INSULT].split()) & ~sure).collect()
     return {r["cue"]: float(r["trust"]) for r in kept}, {r["cue"] for r in refuted}
 
@@ -350,25 +355,27 @@ def learned(docs: DataFrame, labels: DataFrame, how: Learning = Learning()) -> M
     cues = dict.fromkeys(sorted(set(SEEDS[INSULT].split()) - refuted), 0.6) | {p: t for p, t in sorted(phrases.items()) if p not in threats}
     model = Model(cues, default_marks(), curve({}), how.stems, threats)
 
-    def kinds(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            found = [{kind_of(c) for c in model.clauses(t)} for t in rows["text"]]
-            # Rows with clauses of one kind tell what that is worth.
-            yield pd.DataFrame({"kind": [" ".join(map(str, *x)) if len(x) == 1 else "" for x in found], "toxic": rows["toxic"]})
-
-    counts = rows.mapInPandas(kinds, "kind string, toxic int").where("kind <> ''").groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t"))
+    def read(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for own in batches:
+            found = [[(" ".join(map(str, kind)), trust) for kind, trust in model.said(t)] for t in own["text"]]
+            yield pd.DataFrame({"kinds": [[k for k, _ in x] for x in found], "trusts": [[t for _, t in x] for x in found], "toxic": own["toxic"]})
+
+    # At most how.rows rows.
+    seen = rows.mapInPandas(read, "kinds array<string>, trusts array<double>, toxic int").collect()
+    said = [([(tuple(map(int, k.split())), t) for k, t in zip(r["kinds"], r["trusts"], strict=True)], int(r["toxic"])) for r in seen]
+    # Rows with clauses of one kind tell what that is worth.
+    one = [(own[0][0], toxic) for own, toxic in said if len({k for k, _ in own}) == 1]
     factors = {}
-    for r in counts.collect():
-        kind = tuple(map(int, r["kind"].split()))
-        factors[kind] = (r["t"] + 4 * max(model.marks[y] for y in kind)) / (r["n"] + 4)
+    for kind in {k for k, _ in one}:
+        mine = [toxic for k, toxic in one if k == kind]
+        factors[kind] = (sum(mine) + 4 * max(model.marks[y] for y in kind)) / (len(mine) + 4)
     weighed = Model(cues, model.marks, model.curve, how.stems, threats, factors)
-
-    def steps(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            yield pd.DataFrame({"step": [step_of(weighed.evidence(t)) for t in rows["text"]], "toxic": rows["toxic"]})
-
-    counts = rows.mapInPandas(steps, "step int, toxic int").groupBy("step").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t"))
-    return Model(cues, model.marks, curve({r["step"]: (r["n"], r["t"]) for r in counts.collect()}), how.stems, threats, factors)
+    counts: dict[int, tuple[int, int]] = {}
+    for own, toxic in said:
+        step = step_of(weighed.total(own))
+        n, t = counts.get(step, (0, 0))
+        counts[step] = (n + 1, t + toxic)
+    return Model(cues, model.marks, curve(counts), how.stems, threats, factors)
 
 
 def may_hold(lowered: Column, model: Model) -> Column:
