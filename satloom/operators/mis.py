@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satloom.shared import checkpointed
+from satloom.shared import checkpointed, kept
 
 
 def priority_mis(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -21,14 +21,14 @@ def priority_mis(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     known = edges.select("a", "b").join(a, "a").join(b, "b").where("pa <> pb")
     worse = F.col("pa") > F.col("pb")
     down = known.select(F.when(worse, F.col("a")).otherwise(F.col("b")).alias("u"), F.when(worse, F.col("b")).otherwise(F.col("a")).alias("v"), F.least("pa", "pb").alias("pv"))
-    down = checkpointed(down.distinct())
+    down, n = kept(down.distinct())
     left, lost = down.select("u", "v"), nodes.select("id").limit(0)
-    while not left.isEmpty():
+    while n:
         # Nodes without an undecided better neighbour have won; those next to them lose.
         top = left.select("v").distinct().join(left.select(F.col("u").alias("v")).distinct(), "v", "left_anti")
         beaten = checkpointed(left.join(top, "v", "left_semi").select(F.col("u").alias("id")).distinct())
         left = left.join(beaten.select(F.col("id").alias("u")), "u", "left_anti").join(beaten.select(F.col("id").alias("v")), "v", "left_anti")
-        left, lost = checkpointed(left), lost.unionByName(beaten)
+        (left, n), lost = kept(left), lost.unionByName(beaten)
     won = checkpointed(nodes.select("id").join(lost, "id", "left_anti"))
     best = down.join(won.select(F.col("id").alias("v")), "v", "left_semi").groupBy("u").agg(F.min_by("v", "pv").alias("w"))
     best = best.join(won.select(F.col("id").alias("u")), "u", "left_anti")

@@ -15,21 +15,27 @@ from satloom.params import Comparing
 from satloom.shared import checkpointed
 
 
-def candidate_pairs(pool: DataFrame, how: Comparing = Comparing(), parts: int | None = None) -> DataFrame:
+def candidate_pairs(pool: DataFrame, how: Comparing = Comparing(), parts: int | None = None, blocks: int | None = None) -> DataFrame:
     """Pairs of ``pool`` (ord, label, seq) that the length bound leaves: label_a, label_b, len_a, len_b, length_ratio.
 
     A is the shorter, of equal lengths the one of lower ord. Lengths are put into classes that grow by the bound's factor, so a pair
-    can only join a class with itself or the next one: an equality join on the class, not a product of all with all. The sequences
-    are joined to the pairs that are left.
+    can only join a class with itself or the next two: an equality join on the class, not a product of all with all. Units of one
+    organism share a class or two, so that both sides are dealt into ``blocks`` by a hash besides: a pair of blocks is a task's work. The
+    sequences are joined to the pairs that are left.
     """
     most = how.max_copies / how.min_coverage
+    blocks = blocks or math.ceil(math.sqrt(4 * pool.sparkSession.sparkContext.defaultParallelism))
     rows = pool.where("length(seq) > 0").select("ord", "label", F.length("seq").alias("len"))
     rows = rows.withColumn("cls", F.floor(F.log(F.col("len").cast("double")) / math.log(most)).cast("int"))
-    a = rows.select(F.col("ord").alias("ord_a"), F.col("label").alias("label_a"), F.col("len").alias("len_a"), F.explode(F.array("cls", F.col("cls") + 1, F.col("cls") + 2)).alias("cls"))
-    b = rows.select(F.col("ord").alias("ord_b"), F.col("label").alias("label_b"), F.col("len").alias("len_b"), "cls")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("ord"), F.lit(blocks)).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("ord", "label", "len", "block")]
+    a = rows.select(*side("a"), F.explode(F.array("cls", F.col("cls") + 1, F.col("cls") + 2)).alias("cls")).withColumn("block_b", every)
+    b = rows.select(*side("b"), "cls").withColumn("block_a", every)
     shorter = (F.col("len_a") < F.col("len_b")) | ((F.col("len_a") == F.col("len_b")) & (F.col("ord_a") < F.col("ord_b")))
     ratio = F.col("len_b") / F.col("len_a")
-    pairs = a.join(b, "cls").where(shorter & (ratio <= most)).withColumn("length_ratio", ratio).drop("cls")
+    pairs = a.join(b, ["cls", "block_a", "block_b"]).where(shorter & (ratio <= most)).withColumn("length_ratio", ratio)
+    pairs = pairs.drop("cls", "block_a", "block_b")
     return pairs if parts is None else pairs.repartition(parts, "ord_a", "ord_b")
 
 
@@ -50,7 +56,7 @@ def compare(pool: DataFrame, how: Comparing = Comparing(), parts: int | None = N
 
     def tiles(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in batches:
-            found = [K.tile(a, b, how.min_identity, _copies(r, how)) for a, b, r in zip(df["seq_a"], df["seq_b"], df["length_ratio"], strict=True)]
+            found = K.tiles(df["seq_a"].tolist(), df["seq_b"].tolist(), how.min_identity, [_copies(r, how) for r in df["length_ratio"]])
             df["coverage"] = [t.coverage for t in found]
             df["mean_copy_identity"] = [t.mean_identity if t.n_copies else None for t in found]
             df["n_copies_found"] = [t.n_copies for t in found]
@@ -64,10 +70,8 @@ def compare(pool: DataFrame, how: Comparing = Comparing(), parts: int | None = N
 
     def nulls(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in batches:
-            n = [
-                K.null_passes(a, b, how.min_identity, _copies(r, how), how.min_coverage, how.n_shuffles, int(s), how.shuffle_mode)
-                for a, b, r, s in zip(df["seq_a"], df["seq_b"], df["length_ratio"], df["seed"], strict=True)
-            ]
+            most, seeds = [_copies(r, how) for r in df["length_ratio"]], [int(s) for s in df["seed"]]
+            n = K.null_passes(df["seq_a"].tolist(), df["seq_b"].tolist(), how.min_identity, most, how.min_coverage, how.n_shuffles, seeds, how.shuffle_mode)
             yield pd.DataFrame({"label_a": df["label_a"], "label_b": df["label_b"], "null_passes": n})
 
     tests = tiled.where("candidate AND NOT sure").withColumn("seed", X.pair_seed(how.shuffle_seed, F.col("label_a"), F.col("label_b")))

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from satloom.functions import exprs as X
 from satloom.functions import kernels as K
 from satloom.params import Peeling
-from satloom.shared import checkpointed
+from satloom.shared import checkpointed, kept
 
 KEY = ["entry_id", "motif"]
+#: References (one sequence each) that are sent to every task at most.
+MAX_SENT = 50_000
 MEMBERS = "entry_id string, motif string, row_id long, round int, is_reference boolean, seq string"
 
 
@@ -23,7 +25,8 @@ def peeled(loci: DataFrame, how: Peeling = Peeling(), parts: int | None = None)
 
     A round picks the reference of every bin that is still open (the first locus whose length is the upper median) and matches all
     other loci of those bins with it. Bins are open at once and a bin's loci are spread over tasks by hash: the references,
-    one row a bin, are joined to them. So a bin of any size is work for the whole cluster, and no task holds a bin.
+    one row a bin, are sent to them where they are MAX_SENT at most. (More bins are joined by a shuffle; then a bin's loci of one round
+    meet in one partition, which the adaptive planner may split.) So a bin of any size is work for the whole cluster.
     """
     parts = parts or loci.sparkSession.sparkContext.defaultParallelism * 2
     pool = checkpointed(loci.select(*KEY, "row_id", "seq").where("length(seq) > 0").repartition(parts, *KEY, "row_id"))
@@ -33,11 +36,13 @@ def peeled(loci: DataFrame, how: Peeling = Peeling(), parts: int | None = None)
     def match(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, list[tuple[int, str]]] = {}
         for df in batches:
-            turned = []
-            for seq, ref in zip(df["seq"], df["ref"], strict=True):
+            seqs = df["seq"].tolist()
+            turned: list[str | None] = [None] * len(seqs)
+            for ref, rows in K.grouped(df["ref"]).items():
                 if ref not in known:
-                    known[ref] = K.anchors(ref, how.anchor_length, how.anchor_offsets, how.require_unique_anchor, how.min_identity)
-                turned.append(K.anchored(seq, known[ref], how.min_identity))
+                    known[ref] = K.anchors(ref, how.anchor_length, how.anchor_offsets, how.require_unique_anchor)
+                for i, own in zip(rows, K.anchored([seqs[i] for i in rows], known[ref], how.min_identity), strict=True):
+                    turned[i] = own
             df["turned"] = turned
             yield df[["entry_id", "motif", "row_id", "seq", "turned"]]
 
@@ -48,10 +53,10 @@ def peeled(loci: DataFrame, how: Peeling = Peeling(), parts: int | None = None)
         middle = lengths.withColumn("upto", F.sum("n").over(upto)).withColumn("size", size).where(F.col("size") >= how.min_cluster_size)
         middle = middle.where(F.col("upto") > F.floor(F.col("size") / 2)).groupBy(*KEY).agg(F.min("len").alias("len"))
         at = pool.withColumn("len", F.length("seq")).join(middle, [*KEY, "len"])
-        refs = checkpointed(at.groupBy(*KEY).agg(F.min_by(F.struct("row_id", "seq"), "row_id").alias("r")).select(*KEY, F.col("r.row_id").alias("ref_id"), F.col("r.seq").alias("ref")))
-        if refs.isEmpty():
+        refs, n_refs = kept(at.groupBy(*KEY).agg(F.min_by(F.struct("row_id", "seq"), "row_id").alias("r")).select(*KEY, F.col("r.row_id").alias("ref_id"), F.col("r.seq").alias("ref")))
+        if not n_refs:
             break
-        others = pool.join(refs, KEY).where("row_id <> ref_id").select(*KEY, "row_id", "seq", "ref")
+        others = pool.join(F.broadcast(refs) if n_refs <= MAX_SENT else refs, KEY).where("row_id <> ref_id").select(*KEY, "row_id", "seq", "ref")
         matched = checkpointed(others.mapInPandas(match, own))
         joined = matched.where("turned IS NOT NULL").select(*KEY, "row_id", F.lit(False).alias("is_reference"), F.col("turned").alias("seq"))
         joined = joined.unionByName(refs.select(*KEY, F.col("ref_id").alias("row_id"), F.lit(True).alias("is_reference"), F.col("ref").alias("seq")))
@@ -75,13 +80,14 @@ def consensus(members: DataFrame, how: Peeling = Peeling(), parts: int | None =
     own = "entry_id string, motif string, round int, place int, slot int, base string"
 
     def columns(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        letters = np.array([chr(b) for b in range(256)])
         for df in batches:
-            for i, seq in enumerate(df["seq"]):
-                under, inserted = K.aligned_to(df["ref"].iloc[i], seq)
-                cells = [(k, 0, c) for k, c in enumerate(under)] + [(k, j + 1, c) for k, s in inserted.items() for j, c in enumerate(s)]
-                place, slot, base = zip(*cells, strict=True)
-                yield pd.DataFrame({"entry_id": df["entry_id"].iloc[i], "motif": df["motif"].iloc[i], "round": df["round"].iloc[i],
-                                    "place": np.array(place, "int32"), "slot": np.array(slot, "int32"), "base": base})
+            seqs = df["seq"].tolist()
+            for ref, at in K.grouped(df["ref"]).items():
+                own = df.iloc[at]
+                for cells in K.aligned(ref, [seqs[i] for i in at]):
+                    keys = {k: own[k].to_numpy()[cells.row] for k in (*KEY, "round")}
+                    yield pd.DataFrame({**keys, "place": cells.place.astype("int32"), "slot": cells.slot.astype("int32"), "base": letters[cells.base]})
 
     cells = rows.repartition(parts, *KEY, "round", "row_id").select(*KEY, "round", "seq", "ref").mapInPandas(columns, own)
     return vote(cells, members.groupBy(*KEY, "round").agg(F.count(F.lit(1)).alias("n")), [*KEY, "round"], how.max_gap_fraction, how.tie_seed)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> None:
@@ -22,7 +24,18 @@ def checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(root or f"file://{tempfile.mkdtemp(prefix='satloom-')}")
 
 
+def kept(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` computed once, as a table in the shared folder that goes when the session's JVM ends; and its number of rows."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    context = spark.sparkContext
+    folder = f"{context._jsc.sc().getCheckpointDir().get()}/satloom-{uuid.uuid4().hex}"
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return spark.read.schema(df.schema).parquet(folder), seen.get["n"]
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once and written to the shared folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return kept(df)[0]

@@ -1,5 +1,6 @@
 import random
 
+import plain
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,7 +174,7 @@ def test_compared_pairs(spark):
     assert pairs.compare(own, Comparing(skip_margin=0.1)).where("null_status = 'skipped_high_confidence'").count() == 3
 
 
-def test_clusters_equal_those_of_the_plain_kernel(spark):
+def test_clusters_equal_those_of_the_plain_definition(spark):
     rng = random.Random(8)
     units = ["".join(rng.choices("ACGT", k=n)) for n in (80, 84)]
 
@@ -188,7 +189,7 @@ def test_clusters_equal_those_of_the_plain_kernel(spark):
     got = {}
     for r in peeling.peeled(own, Peeling(), parts=5).collect():
         got.setdefault(r["round"], []).append((r["row_id"], r["seq"]))
-    assert [sorted(x) for _, x in sorted(got.items())] == [sorted(c) for c in K.peel(seqs)]
+    assert [sorted(x) for _, x in sorted(got.items())] == [sorted(c.items()) for c in plain.families(seqs)]
     binned = own.select("entry_id", "motif", F.lit(80).alias("target_period"), F.lit(5).alias("window"), "row_id", F.col("seq").alias("consensus"),
                         F.lit(10.0).alias("copy_number"), F.lit(98.0).alias("percent_match"), F.lit(1.9).alias("entropy"))
     found = peeling.clusters(binned).orderBy("rank").collect()
