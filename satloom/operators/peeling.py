@@ -103,7 +103,7 @@ def vote(cells: DataFrame, sizes: DataFrame, keys: list[str], max_gap_fraction:
     votes = cells.where("base <> '-'").groupBy(*keys, "place", "slot", base.alias("base")).agg(F.count(F.lit(1)).alias("v"))
     per = votes.groupBy(*keys, "place", "slot").agg(
         F.sum("v").alias("filled"),
-        F.max(F.when(F.col("base").isin(*"ACGT"), F.struct(F.col("v"), F.xxhash64(F.lit(seed), *keys, "place", "slot", "base").alias("h"), F.col("base").alias("b")))).alias("top"),
+        F.max(F.when(F.col("base").isin(*"ACGT"), F.struct(F.col("v"), F.md5(F.concat_ws(":", F.lit(seed), *keys, "place", "slot", "base")).alias("h"), F.col("base").alias("b")))).alias("top"),
     )
     per = per.join(sizes, keys).where(((F.col("n") - F.col("filled")) / F.col("n") < max_gap_fraction) & F.col("top").isNotNull())
     order = F.struct("place", F.when(F.col("slot") == 0, 1 << 30).otherwise(F.col("slot")).alias("slot"), F.col("top.b").alias("b"))
@@ -117,20 +117,25 @@ def weighted(value: str, weight: str = "copy_number"):
 
 
 def clusters(loci: DataFrame, how: Peeling = Peeling()) -> DataFrame:
-    """Ranked clusters (schemas.CLUSTERS) of binned loci: entry_id, motif, target_period, window, row_id, consensus and measures.
+    """Ranked clusters (schemas.CLUSTERS) of binned loci: entry_id, motif, target_period, window, row_id, consensus and measures."""
+    members = checkpointed(peeled(loci.withColumnRenamed("consensus", "seq"), how))
+    return summarised(members.select(*KEY, "round", "row_id"), loci, consensus(members, how))
+
+
+def summarised(members: DataFrame, loci: DataFrame, found: DataFrame) -> DataFrame:
+    """Ranked clusters of ``members`` (entry_id, motif, round, row_id) with their consensus (``found``).
 
     Clusters rank by size, then by the round they were found in; one without a consensus keeps its rank and is left out. Copy numbers are
     rounded here to one place, as later thresholds and orders take them.
     """
     bins = loci.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_bin"), F.first("target_period").alias("target_period"), F.first("window").alias("window"))
-    members = checkpointed(peeled(loci.withColumnRenamed("consensus", "seq"), how))
-    rows = members.select(*KEY, "round", "row_id").join(loci.select(*KEY, "row_id", "copy_number", "percent_match", "entropy"), [*KEY, "row_id"])
+    rows = members.join(loci.select(*KEY, "row_id", "copy_number", "percent_match", "entropy"), [*KEY, "row_id"])
     per = rows.groupBy(*KEY, "round").agg(
         F.count(F.lit(1)).alias("n_input_sequences"), F.sum("copy_number").alias("cn"),
         weighted("percent_match").alias("match"), weighted("entropy").alias("entropy"),
     )
     rank = F.row_number().over(Window.partitionBy(*KEY).orderBy(F.desc("n_input_sequences"), "round"))
-    per = per.withColumn("rank", rank).join(bins, KEY).join(consensus(members, how), [*KEY, "round"]).where("length(consensus) > 0")
+    per = per.withColumn("rank", rank).join(bins, KEY).join(found, [*KEY, "round"]).where("length(consensus) > 0")
     return per.select(
         "entry_id", "motif", "target_period", "window", "rank", X.cluster_label(F.col("motif"), F.col("rank"), F.col("n_input_sequences")).alias("label"),
         "n_input_sequences", X.fixed(100 * F.col("n_input_sequences") / F.col("n_bin"), 2).alias("pct_of_bin"),

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from satloom.functions import exprs as X
+from satloom.shared import checkpointed
 
 
 def screen_queries(library: DataFrame, double: bool = True) -> DataFrame:
@@ -36,12 +37,37 @@ def known_hits(labels: DataFrame, hits: DataFrame, doubled: bool = True) -> Data
     )
 
 
+def ranked_hits(found: DataFrame) -> DataFrame:
+    """``found`` (known_hits) with ``place``: a label's hits by falling score, of equal scores by name."""
+    order = Window.partitionBy("label").orderBy(F.desc("sw_score"), "repeat_name")
+    return found.withColumn("place", F.row_number().over(order))
+
+
 def pending(samples: DataFrame, done: DataFrame, library_sha256: str) -> DataFrame:
     """Samples that were not screened with this very library yet."""
     wanted = samples.withColumn("lib_sha256", F.lit(library_sha256))
     return wanted.join(done.select("sample", "lib_sha256"), ["sample", "lib_sha256"], "left_anti")
 
 
+def snapshot(library: DataFrame, folder: str) -> str:
+    """The digest of ``library`` (header, consensus), which is kept under it in ``folder``; one that is there already stays."""
+    digest = library_digest(library).first()["lib_sha256"]
+    library.select("header", "consensus").write.mode("ignore").parquet(f"{folder}/library/{digest}")
+    return digest
+
+
+def completed(spark: SparkSession, folder: str) -> DataFrame:
+    """(sample, lib_sha256) of the screens that are done."""
+    spark.sql("SELECT '' AS sample, '' AS lib_sha256 WHERE false").write.mode("append").parquet(f"{folder}/completed")
+    return spark.read.schema("sample string, lib_sha256 string").parquet(f"{folder}/completed")
+
+
+def complete(samples: DataFrame, library_sha256: str, folder: str) -> None:
+    """Notes that ``samples`` are screened with this library; those noted before are passed over."""
+    new = pending(samples, completed(samples.sparkSession, folder), library_sha256)
+    checkpointed(new.select("sample", "lib_sha256")).write.mode("append").parquet(f"{folder}/completed")
+
+
 def library_digest(library: DataFrame) -> DataFrame:
     """lib_sha256 over all records in order of their headers: it changes if and only if the library does.
 

@@ -126,10 +126,30 @@ ORACLES: dict[str, str] = {
  ELSE chr(CAST(97 + (n - 702) // 676 AS INT)) || chr(CAST(97 + (n - 702) // 26 % 26 AS INT)) || chr(CAST(97 + (n - 702) % 26 AS INT)) END AS name FROM k""",
     "library_incremental_antijoin": """SELECT 's' || c_custkey AS sample, sha256('library') AS lib_sha256 FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority LIKE '1%')""",
     "header_forward_fill": """SELECT conv_id, turn, md5(last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS header_md5 FROM conversations""",
-    "column_majority_consensus": f"""WITH {ctes("loci")}, c AS (SELECT entry_id, period, generate_series AS k FROM (SELECT DISTINCT entry_id, period FROM loci), generate_series(0, 31))
- SELECT entry_id, period, CAST(count(*) FILTER (WHERE (k + period) % 11 <> 0) AS INT) AS consensus_length FROM c GROUP BY ALL""",
+    "column_majority_consensus": f"""WITH {ctes("loci")}, c AS (SELECT entry_id, period, k, substr(consensus, CAST(k + 1 AS INT), 1) AS base FROM loci, range(32) AS t(k) WHERE (k + period) % 11 <> 0),
+ v AS (SELECT entry_id, period, k, base, count(*) AS n FROM c GROUP BY ALL),
+ w AS (SELECT *, row_number() OVER (PARTITION BY entry_id, period, k ORDER BY n DESC, md5(concat_ws(':', '1', entry_id, period, k, '0', base)) DESC) AS z FROM v)
+ SELECT entry_id, period, string_agg(base, '' ORDER BY k) AS consensus, CAST(count(*) AS INT) AS consensus_length FROM w WHERE z = 1 GROUP BY ALL""",
     "infix_best_hit": f"""WITH {ctes("loci")}, d AS (SELECT DISTINCT consensus, translate(reverse(consensus), 'AC', 'CA') AS other FROM loci),
  s AS (SELECT consensus, other, z, a, levenshtein(substr(consensus, 1, 21), substr(other || other, CAST(a + 1 AS INT), CAST(z - a AS INT))) AS x FROM d, range(0, 65) AS p(z), range(0, 65) AS q(a) WHERE a <= z),
  b AS (SELECT *, row_number() OVER (PARTITION BY consensus, other ORDER BY x, z, a) AS n FROM s)
  SELECT consensus, other, CAST(x AS INT) AS distance, CAST(a AS INT) AS start, CAST(z AS INT) AS "end" FROM b WHERE n = 1""",
+    "tile_pairs": f"""WITH RECURSIVE {ctes("loci")}, pool AS (SELECT consensus AS label, substr(consensus, 1, CAST(min(period) % 12 + 21 AS INT)) AS seq FROM loci GROUP BY consensus),
+ pair AS (SELECT a.label AS label_a, b.label AS label_b, a.seq AS u, b.seq AS t, length(a.seq) AS m, length(b.seq) AS n, least(6, length(b.seq) // length(a.seq) + 2) AS most
+  FROM pool a JOIN pool b ON length(a.seq) < length(b.seq) OR (length(a.seq) = length(b.seq) AND a.label < b.label)),
+ st AS (SELECT label_a, label_b, side, u, m, n, most, CASE WHEN side = 0 THEN t ELSE translate(reverse(t), 'ACGT', 'TGCA') END AS ring, 0 AS taken, CAST(0 AS DOUBLE) AS shares, 0 AS copies, false AS done
+   FROM pair, (VALUES (0), (1)) AS s(side)
+  UNION ALL SELECT label_a, label_b, side, u, m, n, most, CASE WHEN stop THEN ring WHEN z <= n THEN left(ring, a) || repeat('N', z - a) || substr(ring, z + 1)
+    ELSE repeat('N', z - n) || substr(ring, z - n + 1, a - (z - n)) || repeat('N', n - a) END, CASE WHEN stop THEN taken ELSE taken + z - a END,
+   CASE WHEN stop THEN shares ELSE shares + (CAST(1 AS DOUBLE) - CAST(d AS DOUBLE) / m) END, CASE WHEN stop THEN copies ELSE copies + 1 END, stop
+   FROM (SELECT *, CAST(1 AS DOUBLE) - CAST(d AS DOUBLE) / m < CAST(0.7 AS DOUBLE) AS stop FROM
+    (SELECT *, CAST(best // 1000000 AS INT) AS d, CAST(best // 1000 % 1000 AS INT) AS z, CAST(best % 1000 AS INT) AS a FROM
+     (SELECT *, list_min(list_transform(range(n * (2 * (m * 3 // 10) + 1)), lambda i: levenshtein(u, substr(ring || ring, CAST(i % n + 1 AS INT), CAST(m - m * 3 // 10 + i // n AS INT))) * 1000000
+       + (i % n + m - m * 3 // 10 + i // n) * 1000 + i % n)) AS best FROM st WHERE NOT done AND copies < most AND taken < n)))),
+ fin AS (SELECT label_a, label_b, side, m, n, least(CAST(taken AS DOUBLE) / n, 1) AS coverage, CASE WHEN copies > 0 THEN shares / copies END AS share, copies
+   FROM st QUALIFY row_number() OVER (PARTITION BY label_a, label_b, side ORDER BY copies DESC, done DESC) = 1),
+ got AS (SELECT * FROM fin QUALIFY row_number() OVER (PARTITION BY label_a, label_b ORDER BY coverage DESC, side) = 1),
+ ok AS (SELECT *, coverage >= CAST(0.85 AS DOUBLE) AND share >= CAST(0.7 AS DOUBLE) AS good FROM got)
+ SELECT label_a, label_b, CAST(m AS INT) AS len_a, CAST(n AS INT) AS len_b, round(CAST(n AS DOUBLE) / m, 6) AS length_ratio, round(coverage, 6) AS coverage, round(share, 6) AS mean_copy_identity,
+  CAST(copies AS INT) AS n_copies_found, coalesce(good AND copies = 1, false) AS flag_similar, coalesce(good AND copies >= 2, false) AS flag_multiple_of FROM ok""",
 }

@@ -269,7 +269,7 @@ def column_majority_consensus(spark, d):
     cells = cells.withColumn("base", F.when((F.col("place") + F.col("period")) % 11 == 0, "-").otherwise(F.col("base")))
     sizes = rows.groupBy("entry_id", "period").agg(F.count(F.lit(1)).alias("n"))
     found = peeling.vote(cells, sizes, ["entry_id", "period"], 0.5)
-    return found.select("entry_id", "period", F.length("consensus").alias("consensus_length"))
+    return found.select("entry_id", "period", "consensus", F.length("consensus").alias("consensus_length"))
 
 
 @query
@@ -279,7 +279,7 @@ def infix_best_hit(spark, d):
 
     def hits(batches):
         for df in batches:
-            found = [K.infix_hit(a[:21], b * 2) for a, b in zip(df["consensus"], df["other"], strict=True)]
+            found = K.infix_hits([a[:21] for a in df["consensus"]], [b * 2 for b in df["other"]])
             df["distance"], df["start"], df["end"] = [h.distance for h in found], [h.start for h in found], [h.end for h in found]
             yield df
 
@@ -294,7 +294,8 @@ def pool(spark, d):
 
 @query
 def tile_pairs(spark, d):
-    return pairs.compare(pool(spark, d), Comparing(n_shuffles=0)).drop("null_passes", "null_status")
+    found = pairs.compare(pool(spark, d), Comparing(n_shuffles=0)).drop("null_passes", "null_status")
+    return found.withColumns({c: F.round(c, 6) for c in ("length_ratio", "coverage", "mean_copy_identity")})
 
 
 @query
@@ -305,6 +306,8 @@ def null_test_pairs(spark, d):
 @query
 def peel_clusters(spark, d):
     """Clusters of the loci's distinct sequences by entry, with their consensus."""
-    rows = loci(spark, d).groupBy("entry_id", "consensus").agg(F.min("start_pos").alias("row_id"), F.max("copy_number_c").alias("copy_number"), F.avg("percent_match").alias("percent_match"), F.avg("entropy").alias("entropy"))
+    rows = loci(spark, d).groupBy("entry_id", "consensus").agg(F.min("start_pos").alias("start"), F.max("copy_number_c").alias("copy_number"), F.avg("percent_match").alias("percent_match"), F.avg("entropy").alias("entropy"))
+    # Start positions repeat; a row needs a number of its own.
+    rows = rows.withColumn("row_id", F.row_number().over(Window.partitionBy("entry_id").orderBy("start", "consensus")))
     rows = rows.select("entry_id", F.lit("cand32").alias("motif"), F.lit(32).alias("target_period"), F.lit(5).alias("window"), "row_id", F.concat("consensus", "consensus").alias("consensus"), "copy_number", "percent_match", "entropy")
     return peeling.clusters(rows, Peeling(min_identity=0.6))

@@ -24,17 +24,23 @@ def checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(root or f"file://{tempfile.mkdtemp(prefix='satloom-')}")
 
 
-def kept(df: DataFrame) -> tuple[DataFrame, int]:
-    """``df`` computed once, as a table in the shared folder that goes when the session's JVM ends; and its number of rows."""
-    spark = df.sparkSession
+def folder(spark: SparkSession) -> str:
+    """A new folder in the shared one; it goes when the session's JVM ends."""
     checkpoint_dir(spark)
     context = spark.sparkContext
-    folder = f"{context._jsc.sc().getCheckpointDir().get()}/satloom-{uuid.uuid4().hex}"
-    path = context._jvm.org.apache.hadoop.fs.Path(folder)
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(folder)
-    path.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return spark.read.schema(df.schema).parquet(folder), seen.get["n"]
+    found = f"{context._jsc.sc().getCheckpointDir().get()}/satloom-{uuid.uuid4().hex}"
+    path = context._jvm.org.apache.hadoop.fs.Path(found)
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return found
+
+
+def kept(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` computed once, as a table in the shared folder; and its number of rows."""
+    at, seen = f"{folder(df.sparkSession)}/rows", Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at), seen.get["n"]
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def write_tsv(df: DataFrame, path: str, *order: str, header: bool = True) -> None:
+def write_tsv(df: DataFrame, path: str, *order: str | Column, header: bool = True) -> None:
     """One file of tab-separated lines, null as ``NA`` and booleans as True and False, sorted by ``order``."""
     cells = [F.initcap(F.col(n).cast("string")).alias(n) if t == "boolean" else F.concat_ws(";", n).alias(n) if t.startswith("array") else F.col(n) for n, t in df.dtypes]
     rows = (df.orderBy(*order) if order else df).select(*cells).coalesce(1)

@@ -133,8 +133,13 @@ def fasta_by_label(records: DataFrame) -> DataFrame:
     return records.groupBy("label").agg(F.max_by("seq", F.struct("file_idx", "rec_no")).alias("seq"))
 
 
-def fasta_lengths(records: DataFrame) -> DataFrame:
-    return records.select("file_idx", "rec_no", "label", F.length("seq").alias("length"))
+def fasta_lengths(lines: DataFrame) -> DataFrame:
+    """file_idx, rec_no, label and length of each record of FASTA ``lines``; no sequence is put together for it."""
+    head = F.col("line").startswith(">")
+    own = carried(lines, F.when(head, F.col("line_no"))).where("header IS NOT NULL")
+    label = F.max(F.when(head, F.regexp_extract(F.trim(F.substring("line", 2, 1 << 30)), r"^\S*", 0)))
+    size = F.sum(F.when(head, 0).otherwise(F.length(F.trim("line"))))
+    return own.groupBy("file_idx", F.col("header").alias("rec_no")).agg(label.alias("label"), size.cast("int").alias("length"))
 
 
 def hit_lines(lines: DataFrame) -> DataFrame:

@@ -44,11 +44,12 @@ def test_headers_end_with_their_file(spark, tmp_path):
 
 
 def test_fasta(spark, tmp_path):
-    own = T.fasta_records(lines(spark, tmp_path, "junk\n>a one\nacg\n\nT\n>b\n>a two\r\nGG\r\n"))
+    read = lines(spark, tmp_path, "junk\n>a one\nacg\n\nT\n>b\n>a two\r\nGG\r\n")
+    own = T.fasta_records(read)
     assert [(r["header"], r["label"], r["seq"]) for r in own.orderBy("rec_no").collect()] == [("a one", "a", "acgT"), ("b", "b", ""), ("a two", "a", "GG")]
     assert {(r["label"], r["seq"]) for r in T.fasta_by_label(own).collect()} == {("a", "GG"), ("b", "")}
     assert {r["seq"] for r in T.fasta_pool(own).collect()} == {"ACGT", "GG"}
-    assert [r["length"] for r in T.fasta_lengths(own).orderBy("rec_no").collect()] == [4, 0, 2]
+    assert [r["length"] for r in T.fasta_lengths(read).orderBy("rec_no").collect()] == [4, 0, 2]
     shards = workflows.sharded(own, 2).orderBy("rec_no").collect()
     assert [r["shard"] for r in shards] == [0, 1, 1]
 

@@ -1,10 +1,12 @@
 import random
 
 import duckdb
+import plain
 import pytest
 from pyspark.sql import functions as F
 
 from satloom import schemas
+from satloom.functions import exprs as X
 from satloom.functions import kernels as K
 from satloom.params import Comparing, Params, Peeling, Scan
 from satloom.plans import queries, workflows
@@ -106,3 +108,32 @@ def test_queries_run_all_shuffles_and_rounds(spark, sf_dir, monkeypatch):
     for name in ("null_test_pairs", "peel_clusters"):
         QUERIES[name](spark, sf_dir)
     assert seen == [Comparing().n_shuffles, Peeling().max_rounds]
+
+
+def test_peel_clusters_against_the_definition(spark, sf_dir):
+    """Size, rank, copies and means of every cluster, from all loci of the stand-in, one sequence at a time."""
+    rows = queries.loci(spark, sf_dir).groupBy("entry_id", "consensus").agg(F.min("start_pos").alias("s"), F.max("copy_number_c").alias("n"), F.avg("percent_match").alias("m"))
+    want = []
+    for entry in sorted({r["entry_id"] for r in rows.collect()}):
+        own = sorted((r for r in rows.collect() if r["entry_id"] == entry), key=lambda r: (r["s"], r["consensus"]))
+        found = plain.families([r["consensus"] * 2 for r in own], least=0.6)
+        for rank, i in enumerate(sorted(range(len(found)), key=lambda i: (-len(found[i]), i)), 1):
+            mine = [own[k] for k in found[i]]
+            match = sum(r["m"] * r["n"] for r in mine) / (sum(r["n"] for r in mine) or 1)
+            want.append((entry, rank, len(mine), float(sum(r["n"] for r in mine)), round(match, 1)))
+    got = [(r["entry_id"], r["rank"], r["n_input_sequences"], r["total_copy_number"], round(r["mean_percent_match"], 1)) for r in QUERIES["peel_clusters"](spark, sf_dir).collect()]
+    assert sorted(got) == sorted(want) and got
+
+
+def test_null_tests_against_the_definition(spark, sf_dir):
+    seqs = {r["label"]: r["seq"] for r in queries.pool(spark, sf_dir).collect()}
+    seeds = spark.createDataFrame([(a, b) for a in seqs for b in seqs if a != b], "a string, b string")
+    seeds = {(r["a"], r["b"]): int(r["seed"]) for r in seeds.select("a", "b", X.pair_seed(1, F.col("a"), F.col("b")).alias("seed")).collect()}
+    rows = [r for r in QUERIES["null_test_pairs"](spark, sf_dir).collect() if r["null_status"] == "tested"]
+    assert len(rows) > 50
+    for r in rows[:40]:
+        u, t = seqs[r["label_a"]], seqs[r["label_b"]]
+        most = min(6, len(t) // len(u) + 2)
+        assert (r["coverage"], r["n_copies_found"]) == plain.tile(u, t, 0.5, most)[::2]
+        made = K.shuffles(u, 20, seeds[r["label_a"], r["label_b"]])
+        assert r["null_passes"] == sum(plain.tile(s, t, 0.5, most)[0] >= 0.6 for s in made)
