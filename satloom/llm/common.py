@@ -92,12 +92,6 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut by a reliable checkpoint in the shared folder."""
-    root_of(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stored(df: DataFrame, path: str, **options: str) -> DataFrame:
     """``df`` written to ``path`` as Parquet and read again, so that nothing of it is computed twice.
 
@@ -112,6 +106,11 @@ def stored(df: DataFrame, path: str, **options: str) -> DataFrame:
     return kept
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` with its lineage cut: a table in a folder of its own, computed once (a checkpoint would compute it twice)."""
+    return stored(df, f"{shared_dir(df.sparkSession)}/rows")
+
+
 def keyed(docs: DataFrame, *wanted: str, rid: str | None = None) -> DataFrame:
     """``rid`` and the columns ``wanted``. rid is the column so named, or a number given to each row in this very scan."""
     safe, at = positional(docs)
