@@ -106,6 +106,12 @@ def stored(df: DataFrame, path: str, **options: str) -> DataFrame:
     return kept
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a table of ``stored`` that nothing needs any more: what was made of it is stored itself."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` with its lineage cut: a table in a folder of its own, computed once (a checkpoint would compute it twice)."""
     return stored(df, f"{shared_dir(df.sparkSession)}/rows")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from satloom.llm import dedup, mixing, packing, pii, quality, secrets, sharding, simhash, toxicity, warc
+from satloom.llm import dedup, fingerprint, lloyd, mixing, packing, pii, quality, secrets, sharding, simhash, toxicity, trie, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1,
@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": mixing.op8,
     "op9_secrets": secrets.op9,
     "op10_simhash": simhash.op10,
+    "op11_prefix_trie": trie.op11,
+    "op12_fingerprints": fingerprint.op12,
+    "op13_vector_codes": lloyd.op13,
 }
 
 ORACLES: dict[str, str] = {
@@ -26,4 +29,7 @@ ORACLES: dict[str, str] = {
     "op2_warc": warc.OP2_SQL,
     "op7_exact_dedup": dedup.OP7_SQL,
     "op9_secrets": secrets.OP9_SQL,
+    "op11_prefix_trie": trie.OP11_SQL,
+    "op12_fingerprints": fingerprint.OP12_SQL,
+    "op13_vector_codes": lloyd.OP13_SQL,
 }

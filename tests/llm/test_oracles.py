@@ -17,7 +17,9 @@ def test_sql_gives_the_same_rows(spark, tmp_path, name):
     con = duckdb.connect()
     con.execute(ROWS)
     con.execute("CREATE VIEW pages AS SELECT * FROM '/root/testdata/sf0.01/pages.parquet' UNION ALL SELECT -page_id - 1, url, html FROM '/root/testdata/sf0.01/pages.parquet'")
-    for table in ("documents", "pages"):
+    for table in ("conversations", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '/root/testdata/sf0.01/{table}.parquet'")
+    for table in ("documents", "pages", "conversations", "embeddings"):
         con.execute(f"COPY {table} TO '{tmp_path}/{table}.parquet'")
     df = QUERIES[name](spark, str(tmp_path))
     columns = ", ".join(df.columns)
