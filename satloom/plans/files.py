@@ -110,8 +110,9 @@ def fasta_lines(spark, d) -> DataFrame:
 
 
 def fasta(spark, d) -> DataFrame:
-    rows = T.fasta_records(fasta_lines(spark, d))
-    return rows.withColumn("place", F.row_number().over(Window.partitionBy("file_idx").orderBy("rec_no")).cast("long"))
+    """The records with their place, counted through all parts of the export."""
+    lines = fasta_lines(spark, d)
+    return T.fasta_records(lines).join(T.fasta_heads(lines, through=True).select("file_idx", "rec_no", "place"), ["file_idx", "rec_no"])
 
 
 @query(f"WITH {_RECORDS} SELECT place, header, label, seq FROM r")
@@ -131,13 +132,25 @@ def fasta_by_label(spark, d):
 
 @query(f"WITH {_RECORDS} SELECT place, label, CAST(length(seq) AS INT) AS length FROM r")
 def fasta_lengths(spark, d):
-    rows = T.fasta_lengths(fasta_lines(spark, d))
-    return rows.select(F.row_number().over(Window.partitionBy("file_idx").orderBy("rec_no")).cast("long").alias("place"), "label", "length")
+    lines = fasta_lines(spark, d)
+    return T.fasta_lengths(lines).join(T.fasta_heads(lines, through=True).select("file_idx", "rec_no", "place"), ["file_idx", "rec_no"]).select("place", "label", "length")
 
 
 @query(f"WITH {_RECORDS} SELECT place, label, CAST(CASE WHEN (place - 1) % 8 < 4 THEN (place - 1) % 8 ELSE 7 - (place - 1) % 8 END AS INT) AS shard FROM r")
 def fasta_shards(spark, d):
-    return sharded(fasta(spark, d), 4).select("place", "label", "shard")
+    return sharded(T.fasta_heads(fasta_lines(spark, d), through=True), 4).select("place", "label", "shard")
+
+
+@query(f"""WITH {_RECORDS} SELECT place, upper(md5(seq)) AS md5, length(seq) AS letters FROM r WHERE seq <> ''""")
+def fasta_pieces(spark, d):
+    """Sequences put together again from pieces of 20 letters at least, each of which says where in its record it starts."""
+    lines = fasta_lines(spark, d)
+    pieces = T.fasta_chunks(lines, 20)
+    whole = pieces.groupBy("file_idx", "rec_no").agg(F.array_sort(F.collect_list(F.struct("start", "seq"))).alias("p"), F.sum(F.length("seq")).alias("letters"))
+    ends = F.forall(F.sequence(F.lit(1), F.size("p")), lambda i: F.when(i == 1, F.get("p", i - 1)["start"] == 0).otherwise(F.get("p", i - 1)["start"] == F.get("p", i - 2)["start"] + F.length(F.get("p", i - 2)["seq"])))
+    seq = F.when(ends, F.array_join(F.transform("p", lambda x: x["seq"]), ""))
+    heads = T.fasta_heads(lines, through=True).select("file_idx", "rec_no", "place")
+    return whole.join(heads, ["file_idx", "rec_no"]).select("place", F.upper(F.md5(seq.cast("binary"))).alias("md5"), "letters")
 
 
 def hit_files(spark, d) -> list[str]:
@@ -179,14 +192,16 @@ def bed_of_family(spark, d):
 @query(f"WITH {ctes('hits')} SELECT row_number() OVER (ORDER BY seqname, start0, end0) - 1 AS line_no, concat_ws('\t', seqname, start0, end0) AS place FROM hits")
 def bed_in_order(spark, d):
     """Lines of the BED export in the order of the file."""
-    return T.numbered_lines(spark, bed_file(spark, d)).select("line_no", F.substring_index("line", "\t", 3).alias("place"))
+    lines = T.counted(T.numbered_lines(spark, bed_file(spark, d)), through=True)
+    return lines.select("line_no", F.substring_index("line", "\t", 3).alias("place"))
 
 
 @query("")
 def scan_table(spark, d):
     """Lines of the table of all periods, by entry and period; booleans as True and False."""
     rows = Q.scan(spark, d).select("entry_id", "period", "n_blocks", "max_copy_number", "passes_filters")
-    return T.numbered_lines(spark, exported(spark, lambda at: sinks.write_tsv(rows, at, "entry_id", "period"))).select("line_no", "line")
+    paths = exported(spark, lambda at: sinks.write_tsv(rows, at, "entry_id", "period"))
+    return T.counted(T.numbered_lines(spark, paths), through=True).select("line_no", "line")
 
 
 @query(f"""WITH {ctes("clusters")}, o AS (SELECT row_number() OVER (ORDER BY total_copy_number_d DESC, consensus_length, cluster_uid) AS line_no,
@@ -196,7 +211,7 @@ def cluster_table(spark, d):
     """Lines of the table of clusters: the largest first, then by length and key."""
     rows = view(spark, d, "clusters").select("cluster_uid", "consensus_length", "total_copy_number_d")
     paths = exported(spark, lambda at: sinks.write_tsv(rows, at, F.desc("total_copy_number_d"), "consensus_length", "cluster_uid"))
-    return T.numbered_lines(spark, paths).select("line_no", "line")
+    return T.counted(T.numbered_lines(spark, paths), through=True).select("line_no", "line")
 
 
 @query("""SELECT c_custkey AS key, nullif(c_mktsegment, 'BUILDING') AS segment, CASE WHEN c_custkey % 3 = 0 THEN 'True' ELSE 'False' END AS third, CAST(c_custkey AS VARCHAR) || ';' || c_nationkey AS pair FROM customer""")

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from satloom.functions.exprs import shard_index
 from satloom.operators import bins, families, intervals, pairs, peeling, screen
 from satloom.params import Params
 from satloom.shared import checkpointed
@@ -73,8 +74,9 @@ def genome_screen(loci: DataFrame, hits: DataFrame, params: Params = Params()) -
 
 
 def sharded(records: DataFrame, shards: int, keys: Sequence[str] = ("file_idx",)) -> DataFrame:
-    """Records dealt forth and back over shards, in the order of their files."""
-    from satloom.functions.exprs import shard_index
-
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy("rec_no"))
-    return records.withColumn("shard", shard_index(place, shards))
+    """Records dealt forth and back over shards, in the order of their files. Records that know their place (text_formats.fasta_heads) are dealt where they
+    lie; others are numbered by ``keys`` first."""
+    if "place" not in records.columns:
+        records = records.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy("rec_no")))
+        return records.withColumn("shard", shard_index(F.col("place"), shards)).drop("place")
+    return records.withColumn("shard", shard_index(F.col("place"), shards))

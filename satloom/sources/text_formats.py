@@ -1,70 +1,19 @@
-"""Repeat-finder tables, FASTA, hit tables, BED and manifests.
-
-Files are read as lines with their number in the file, so that headers can be carried on to the lines below them with a window
-over each file. Lines are numbered by a Python data source, one partition a file, which streams and never holds a file.
-"""
+"""Repeat-finder tables, FASTA, hit tables, BED and manifests, from lines that any number of tasks read (see lines)."""
 
 from __future__ import annotations
 
-import gzip
 import os
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from satloom.functions import exprs as X
+from satloom.shared import kept
+from satloom.sources import lines as L
+from satloom.sources.lines import counted, numbered_lines
 
-
-class _File(InputPartition):
-    def __init__(self, index: int, path: str) -> None:
-        self.index, self.path = index, path
-
-
-class _LineReader(DataSourceReader):
-    def __init__(self, paths: list[str]) -> None:
-        self.paths = paths
-
-    def partitions(self) -> Sequence[InputPartition]:
-        return [_File(i, p) for i, p in enumerate(self.paths)]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        from pyarrow import fs
-
-        path = partition.path
-        files, at = fs.FileSystem.from_uri(path if "://" in path else f"file://{os.path.abspath(path)}")
-        with files.open_input_stream(at, compression=None) as raw:
-            lines = gzip.open(raw) if at.endswith(".gz") else raw
-            rest, number = b"", 0
-            while block := lines.read(1 << 20):
-                *whole, rest = (rest + block).split(b"\n")
-                for line in whole:
-                    yield partition.index, number, line.rstrip(b"\r").decode()
-                    number += 1
-            if rest:
-                yield partition.index, number, rest.rstrip(b"\r").decode()
-
-
-class NumberedLines(DataSource):
-    """Format ``numbered_lines``: file_idx, line_no and line of the files in option ``paths``, one to a row of that option."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "numbered_lines"
-
-    def schema(self) -> str:
-        return "file_idx int, line_no long, line string"
-
-    def reader(self, schema) -> DataSourceReader:
-        return _LineReader([p for p in self.options["paths"].split("\n") if p])
-
-
-def numbered_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    spark.dataSource.register(NumberedLines)
-    if not paths:
-        return spark.createDataFrame([], "file_idx int, line_no long, line string")
-    return spark.read.format("numbered_lines").option("paths", "\n".join(paths)).load()
+__all__ = ["counted", "numbered_lines"]
 
 
 def carried(lines: DataFrame, header: Column, keys: Sequence[str] = ("file_idx",), order: str = "line_no") -> DataFrame:
@@ -78,7 +27,7 @@ def _headed(lines: DataFrame, default: str | None) -> DataFrame:
     header = F.when(line.startswith("Sequence:"), F.trim(F.substring(line, 10, 1 << 30))).when(
         line.startswith("@"), F.substring_index(F.trim(F.substring(line, 2, 1 << 30)), " ", 1)
     )
-    return carried(lines, header).withColumn("header", F.coalesce("header", F.lit(default))).withColumn("f", X.fields(line))
+    return L.headed(lines, header).withColumn("header", F.coalesce("header", F.lit(default))).withColumn("f", X.fields(line))
 
 
 def trf_loci(lines: DataFrame, default_seqname: str | None = "unknown") -> DataFrame:
@@ -112,17 +61,51 @@ def trf_spans(lines: DataFrame, default_seqname: str = "") -> DataFrame:
     )
 
 
+def _recorded(lines: DataFrame) -> DataFrame:
+    """Lines of FASTA records, with rec_no, the line_no of their header; lines above the first header are left out."""
+    head = F.when(F.col("line").startswith(">"), F.col("line_no"))
+    return L.headed(lines, head).where("header IS NOT NULL").withColumn("rec_no", F.col("header").cast("long")).drop("header")
+
+
+def _header(line: Column) -> Column:
+    return F.trim(F.substring(line, 2, 1 << 30))
+
+
+def fasta_heads(lines: DataFrame, through: bool = False) -> DataFrame:
+    """file_idx, rec_no, header, label and place of each record: its number, from 1 on, in its file or (``through``) in all files."""
+    heads = L.ordinals(lines, F.col("line").startswith(">"), "place", through)
+    head = _header(F.col("line"))
+    return heads.select("file_idx", F.col("line_no").alias("rec_no"), head.alias("header"), F.regexp_extract(head, r"^\S*", 0).alias("label"), "place")
+
+
 def fasta_records(lines: DataFrame) -> DataFrame:
-    """file_idx, rec_no, header (all after ``>``), label (its first word) and seq of each record, repeated ones included."""
-    at = F.when(F.col("line").startswith(">"), F.col("line_no"))
-    own = carried(lines, at).where("header IS NOT NULL")
+    """file_idx, rec_no, header (all after ``>``), label (its first word) and seq of each record, repeated ones included.
+
+    A record is a row here, as libraries of consensus sequences are read; for genomes there is fasta_chunks.
+    """
     body = F.struct("line_no", F.trim("line").alias("line"))
-    rows = own.groupBy("file_idx", F.col("header").alias("rec_no")).agg(F.array_sort(F.collect_list(body)).alias("lines"))
-    head = F.trim(F.substring(F.col("lines")[0]["line"], 2, 1 << 30))
+    rows = _recorded(lines).groupBy("file_idx", "rec_no").agg(F.array_sort(F.collect_list(body)).alias("lines"))
+    head = _header(F.col("lines")[0]["line"])
     text = F.array_join(F.transform(F.slice("lines", 2, F.greatest(F.size("lines"), F.lit(1))), lambda x: x["line"]), "")
     return rows.select("file_idx", "rec_no", head.alias("header"), F.regexp_extract(head, r"^\S*", 0).alias("label"), text.alias("seq"))
 
 
+def fasta_chunks(lines: DataFrame, letters: int = 1 << 16) -> DataFrame:
+    """file_idx, rec_no, start (from 0, in the record) and seq: the sequences in pieces of about ``letters`` letters, one row each.
+
+    A piece ends with the line that passes a multiple of ``letters`` in the file's letters, so that each line is dealt by the sum of those before it and no
+    row, group or task holds a chromosome. Records without letters have no piece.
+    """
+    head = F.col("line").startswith(">")
+    sized = L.running(_recorded(lines).withColumn("line", F.when(head, ">").otherwise(F.trim("line"))), F.when(head, 0).otherwise(F.length("line")), "at")
+    own = sized.where((F.col("line") != "") & ~head)
+    pieces = own.groupBy("file_idx", "rec_no", F.floor(F.col("at") / letters).alias("piece")).agg(F.array_sort(F.collect_list(F.struct("at", "line"))).alias("lines"))
+    first, n = kept(sized.where(head).select("file_idx", "rec_no", F.col("at").alias("first")))
+    pieces = pieces.join(F.broadcast(first) if n <= L.MAX_SENT else first, ["file_idx", "rec_no"])
+    seq = F.array_join(F.transform("lines", lambda x: x["line"]), "")
+    return pieces.select("file_idx", "rec_no", (F.col("lines")[0]["at"] - F.col("first")).alias("start"), seq.alias("seq"))
+
+
 def fasta_pool(records: DataFrame) -> DataFrame:
     """Records as the comparison takes them: upper case, none that is empty."""
     return records.where("seq <> ''").withColumn("seq", F.upper("seq"))
@@ -136,10 +119,9 @@ def fasta_by_label(records: DataFrame) -> DataFrame:
 def fasta_lengths(lines: DataFrame) -> DataFrame:
     """file_idx, rec_no, label and length of each record of FASTA ``lines``; no sequence is put together for it."""
     head = F.col("line").startswith(">")
-    own = carried(lines, F.when(head, F.col("line_no"))).where("header IS NOT NULL")
-    label = F.max(F.when(head, F.regexp_extract(F.trim(F.substring("line", 2, 1 << 30)), r"^\S*", 0)))
+    label = F.max(F.when(head, F.regexp_extract(_header(F.col("line")), r"^\S*", 0)))
     size = F.sum(F.when(head, 0).otherwise(F.length(F.trim("line"))))
-    return own.groupBy("file_idx", F.col("header").alias("rec_no")).agg(label.alias("label"), size.cast("int").alias("length"))
+    return _recorded(lines).groupBy("file_idx", "rec_no").agg(label.alias("label"), size.cast("int").alias("length"))
 
 
 def hit_lines(lines: DataFrame) -> DataFrame:
@@ -199,36 +181,46 @@ class ManifestError(ValueError):
     """A manifest that cannot be used, with the reason."""
 
 
-def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """The entries (schemas.ENTRIES) of a manifest, after its checks.
+def manifest_rows(spark: SparkSession, path: str) -> DataFrame:
+    """line_no and fields of the rows of a manifest: lines that are not blank, are no comments and stand below the first such line, the header."""
+    own = numbered_lines(spark, [path]).where("trim(line) <> ''").select("line_no", "line")
+    head = own.agg(F.min("line_no").alias("head"))
+    return own.join(F.broadcast(head), F.col("line_no") > F.col("head")).where(~F.col("line").startswith("#")).select("line_no", F.split("line", "\t").alias("f"))
+
+
+def violations(rows: DataFrame) -> DataFrame:
+    """line_no and rule of all that is wrong with manifest_rows; an empty manifest is wrong in line 0."""
+    f, own = F.col("f"), rows.where(F.size("f") == 6)
+    word = lambda i: F.trim(F.get(f, i))
+    paths = lambda i: F.size(F.filter(F.split(F.get(f, i), ";"), lambda p: F.trim(p) != ""))
+    wanted = F.when(word(3) == "phased_pooled", 2).otherwise(1)
+    known = word(3).isin("phased_pooled", "unphased")
+    twice = own.groupBy(word(0).alias("entry")).agg(F.min("line_no").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = own.withColumn("entry", word(0)).join(twice, "entry").where(F.col("line_no") > F.col("first"))
+    found = [
+        rows.where(F.size("f") != 6).select("line_no", F.concat(F.size("f").cast("string"), F.lit(" fields, not 6")).alias("rule")),
+        again.select("line_no", F.concat(F.lit("entry "), "entry", F.lit(" again")).alias("rule")),
+        own.where(~known).select("line_no", F.concat(F.lit("phasing_status "), word(3)).alias("rule")),
+        own.where(known & ((paths(4) != wanted) | (paths(5) != wanted))).select("line_no", F.concat(word(3), F.lit(" takes "), wanted.cast("string"), F.lit(" path(s) in each column")).alias("rule")),
+        rows.agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(F.lit(0).cast("long").alias("line_no"), F.lit("no entries").alias("rule")),
+    ]
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
 
-    A manifest is a small table for people; it is read on the driver, and more than 100,000 lines are refused.
-    """
-    lines = numbered_lines(spark, [path]).where("trim(line) <> ''").orderBy("line_no").limit(100_001).collect()
-    if len(lines) > 100_000:
-        raise ManifestError("more than 100000 lines")
-    rows = [x["line"].split("\t") for x in lines[1:] if not x["line"].startswith("#")]
-    seen: set[str] = set()
-    out = []
-    for i, row in enumerate(rows, 2):
-        if len(row) != 6:
-            raise ManifestError(f"line {i}: {len(row)} fields, not 6")
-        entry, individual, method, phasing, fasta, dat = (x.strip() for x in row)
-        if entry in seen:
-            raise ManifestError(f"line {i}: entry {entry} again")
-        if phasing not in ("phased_pooled", "unphased"):
-            raise ManifestError(f"line {i}: phasing_status {phasing}")
-        paths = [[p.strip() for p in x.split(";") if p.strip()] for x in (fasta, dat)]
-        wanted = 2 if phasing == "phased_pooled" else 1
-        if any(len(p) != wanted for p in paths):
-            raise ManifestError(f"line {i}: {phasing} takes {wanted} path(s) in each column")
-        seen.add(entry)
-        out.append((entry, individual, method, phasing, *paths))
-    if not out:
-        raise ManifestError("no entries")
-    from satloom import schemas
-
-    return spark.createDataFrame(out, schemas.ENTRIES)
+
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The entries (schemas.ENTRIES) of a manifest, after its checks: a ManifestError tells of the first line that breaks a rule. Of any number of lines, none
+    but that one comes to the driver."""
+    rows = manifest_rows(spark, path)
+    wrong = violations(rows).orderBy("line_no", "rule").first()
+    if wrong is not None:
+        raise ManifestError(f"line at {wrong['line_no']}: {wrong['rule']}")
+    f = F.col("f")
+    names = ("entry_id", "individual", "assembly_method", "phasing_status")
+    paths = lambda i: F.filter(F.transform(F.split(F.get(f, i), ";"), lambda p: F.trim(p)), lambda p: p != "")
+    return rows.select(*(F.trim(F.get(f, i)).alias(n) for i, n in enumerate(names)), paths(4).alias("fasta_paths"), paths(5).alias("trf_dat_paths"))
 
 
 def samples(entries: DataFrame) -> DataFrame:
