@@ -36,12 +36,12 @@ THIRDS = (0, 1, 2)
 @dataclass(frozen=True)
 class Sketching:
     """third: cells in each third of a fingerprint; share and least: cells in each third of a larger sketch, as a share of the digests that it may have to hold,
-    and besides; rounds: of peeling before a sketch is given up. (Empty cells are no rows, so that a roomy sketch costs little.)"""
+    and besides; sweeps: over the thirds of a larger sketch before it is given up. (Empty cells are no rows, so that a roomy sketch costs little.)"""
 
     third: int = 6
     share: float = 1.2
     least: int = 20
-    rounds: int = 7
+    sweeps: int = 3
 
 
 def digests(text: Column) -> Column:
@@ -99,9 +99,15 @@ def _peeled(cells: DataFrame, j: int, listed: bool) -> DataFrame:
     return _summed(cells.select("key", "third", F.inline(F.when(pure, F.array(noted, *others)).when(full, F.array(kept)))))
 
 
-def attempted(sets: DataFrame, third: Column, how: Sketching, listed: bool) -> DataFrame:
-    """key, gone and new (how many digests only a or only b has) and whole (whether all were recovered) for ``sets`` (key, a, b); with ``listed`` the digests too,
-    as gone_digests and new_digests."""
+def _swept(cells: DataFrame, listed: bool) -> DataFrame:
+    """A round of peeling for each third."""
+    for j in THIRDS:
+        cells = _peeled(cells, j, listed)
+    return cells
+
+
+def _sketched(sets: DataFrame, third: Column) -> DataFrame:
+    """The difference of the sketches of a and b, for each row of ``sets`` (key, a, b), as rows of cells; the cells of a key are in one partition."""
     zero = F.lit(0).cast("long")
     signed = lambda side, sign: F.transform(side, lambda d: F.struct(d.alias("d"), F.lit(sign).alias("s")))
     pair = F.array(F.struct(zero.alias("d"), F.lit(0).alias("s")))
@@ -109,14 +115,28 @@ def attempted(sets: DataFrame, third: Column, how: Sketching, listed: bool) -> D
     rows = rows.select("key", "third", F.inline(F.concat(pair, signed(F.col("a"), 1), signed(F.col("b"), -1))))
     d, s = F.col("d"), F.col("s")
     placed = F.array(*(_row(_place(d, j, F.col("third")), s, d, check(d), zero) for j in THIRDS))
-    cells = _summed(rows.select("key", "third", F.inline(F.when(s == 0, F.array(_row(F.lit(PAIR), zero, zero, zero, zero))).otherwise(placed))))
-    for i in range(how.rounds):
-        cells = _peeled(cells, THIRDS[i % 3], listed)
+    return _summed(rows.select("key", "third", F.inline(F.when(s == 0, F.array(_row(F.lit(PAIR), zero, zero, zero, zero))).otherwise(placed))))
+
+
+FULL = "cell >= 0 AND (c <> 0 OR k <> 0 OR x <> 0)"
+
+
+def attempted(sets: DataFrame, third: Column, sweeps: int, listed: bool, at: str) -> DataFrame:
+    """key, gone and new (how many digests only a or only b has) and whole (whether all were recovered) for ``sets`` (key, a, b); with ``listed`` the digests too,
+    as gone_digests and new_digests. After each sweep what is left is stored in the folder ``at``, and only that goes on."""
+    cells = C.stored(_swept(_sketched(sets, third), listed), f"{at}/0")
+    rows = [cells.where("cell < 0")]
+    for i in range(1, sweeps):
+        left = cells.where(FULL)
+        if left.isEmpty():
+            break
+        cells = C.stored(_swept(left.repartition("key"), listed), f"{at}/{i}")
+        rows.append(cells.where("cell < 0"))
+    every = reduce(DataFrame.unionByName, [*rows, cells.where(FULL)])
     cell = F.col("cell")
-    left = F.count_if((cell >= 0) & ((F.col("c") != 0) | (F.col("k") != 0) | (F.col("x") != 0)))
     counts = [F.coalesce(F.sum(F.when(cell == kind, F.col("c"))), F.lit(0).cast("long")).alias(name) for kind, name in ((GONE, "gone"), (NEW, "new"))]
     lists = [F.collect_list(F.when(cell == kind, F.col("found"))).alias(f"{name}_digests") for kind, name in ((GONE, "gone"), (NEW, "new"))]
-    return cells.groupBy("key").agg(*counts, (left == 0).alias("whole"), *(lists if listed else []))
+    return every.groupBy("key").agg(*counts, (F.count_if(cell >= 0) == 0).alias("whole"), *(lists if listed else []))
 
 
 def differences(sets: DataFrame, how: Sketching = Sketching(), listed: bool = False) -> DataFrame:
@@ -128,7 +148,7 @@ def differences(sets: DataFrame, how: Sketching = Sketching(), listed: bool = Fa
     at, more, done = C.shared_dir(sets.sparkSession), 0, []
     third = F.lit(how.third)
     while True:
-        found = C.stored(attempted(sets, third, how, listed), f"{at}/{more}")
+        found = C.stored(attempted(sets, third, how.sweeps if more else 1, listed, f"{at}/{more}"), f"{at}/{more}/pairs")
         done.append(found.where("whole").drop("whole"))
         if found.where("NOT whole").isEmpty():
             return reduce(DataFrame.unionByName, done)

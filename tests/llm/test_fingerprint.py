@@ -80,13 +80,13 @@ def test_differences_are_recovered_whatever_the_first_size(spark):
     sets = [(k, sorted(rng.sample(range(1 << 59), n)), m) for k, (n, m) in enumerate([(0, 0), (1, 1), (2, 0), (5, 5), (40, 3), (3, 40), (600, 600), (3000, 10)])]
     sets = [(k, a, sorted(set(a[: len(a) // 2]) | set(rng.sample(range(1 << 59), m)))) for k, a, m in sets]
     df = spark.createDataFrame(sets, "key long, a array<long>, b array<long>")
-    for how in (P.Sketching(), P.Sketching(third=1, share=0.05, least=1, rounds=2), P.Sketching(third=1000)):
+    for how in (P.Sketching(), P.Sketching(third=1, share=0.05, least=1, sweeps=1), P.Sketching(third=1000)):
         got = {r["key"]: (set(r["gone_digests"]), set(r["new_digests"]), r["gone"], r["new"]) for r in P.differences(df, how, listed=True).collect()}
         assert got == {k: (set(a) - set(b), set(b) - set(a), len(set(a) - set(b)), len(set(b) - set(a))) for k, a, b in sets}
     assert P.differences(df).agg(F.sum("gone"), F.sum("new")).first() == (sum(len(set(a) - set(b)) for _, a, b in sets), sum(len(set(b) - set(a)) for _, a, b in sets))
 
 
-def test_no_python_on_the_main_path(spark, sf_dir):
+def test_no_python_on_the_main_path(spark):
     sets = spark.createDataFrame([(1, [1], [2])], "key long, a array<long>, b array<long>")
-    plan = P.attempted(sets, F.lit(6), P.Sketching(), False)._jdf.queryExecution().executedPlan().toString()
+    plan = P._swept(P._sketched(sets, F.lit(6)), False)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
