@@ -2,34 +2,86 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satloom.shared import checkpointed, kept
+from satloom.shared import Scratch, checkpointed
+
+#: Plain rounds before each look at chains.
+PLAIN = 2
+
+
+def _beaten(left: DataFrame, won: DataFrame) -> DataFrame:
+    """id of the nodes with a better neighbour in ``won`` (v)."""
+    return left.join(won, "v", "left_semi").select(F.col("u").alias("id")).distinct()
+
+
+def _without(left: DataFrame, lost: DataFrame) -> DataFrame:
+    return left.join(lost.select(F.col("id").alias("u")), "u", "left_anti").join(lost.select(F.col("id").alias("v")), "v", "left_anti")
+
+
+def chained(left: DataFrame, tables: Scratch) -> DataFrame:
+    """id of the nodes that lose by a chain: (u, v) says that v is u's better neighbour, and a node with one such neighbour wins if and only if that one loses.
+
+    So along nodes with one better neighbour each, winners and losers take turns from the node above them all. Each node points to its neighbour, then to
+    that one's neighbour and so on, twice as far each time, with the parity of its steps, until it points to a node that is no such link: a chain of n
+    nodes takes log2(n) joins. Where that node has won (it has no better neighbour), those an odd number of steps below it have lost.
+    """
+    # A node has no other better neighbour if the least and the greatest are one.
+    links = left.groupBy("u").agg(F.min("v").alias("v"), F.max("v").alias("w")).where("v = w").select("u", "v", F.lit(1).alias("odd"))
+    links, n = tables.keep(links)
+    going = links
+    while n:
+        onward = going.select(F.col("u").alias("v"), F.col("v").alias("w"), F.col("odd").alias("more"))
+        stepped = going.join(onward, "v", "left").select("u", F.coalesce("w", "v").alias("v"), F.when(F.col("w").isNull(), F.col("odd")).otherwise((F.col("odd") + F.col("more")) % 2).alias("odd"), F.col("w").isNull().alias("done"))
+        stepped, _ = tables.keep(stepped)
+        # Those that have come to an end stay in the table, for others to point through.
+        n = stepped.where("NOT done").limit(1).count()
+        going = stepped.select("u", "v", "odd")
+    tops = left.select("v").distinct().join(left.select(F.col("u").alias("v")).distinct(), "v", "left_anti")
+    return going.where("odd = 1").join(tops, "v", "left_semi").select(F.col("u").alias("id"))
 
 
 def priority_mis(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, winner_id) for ``nodes`` (id, prio: 1 is best, no two alike among neighbours) and ``edges`` (a, b, either way round).
 
     A node wins once all its better neighbours have lost, and loses once one of them has won: the same outcome as taking nodes one
-    by one in order. winner_id is the node itself, or the best winner next to it. Only undecided edges go on to the next
-    round, which is checkpointed; whoever has lost by the end is known, all others have won. Edges to unknown nodes do not
-    count, nor do loops.
+    by one in order. winner_id is the node itself, or the best winner next to it. A round decides all nodes below those without a better neighbour; after
+    every PLAIN rounds, whole chains are decided at once (see chained), so that a long path in order takes no more rounds than its length has bits.
+    Only undecided edges go on to the next round, and a round's tables go with it; whoever has lost by the end is known, all others have won. Edges to
+    unknown nodes do not count, nor do loops.
     """
+    tables = Scratch(nodes.sparkSession)
     nodes = checkpointed(nodes.select("id", "prio"))
     a, b = nodes.select(F.col("id").alias("a"), F.col("prio").alias("pa")), nodes.select(F.col("id").alias("b"), F.col("prio").alias("pb"))
     known = edges.select("a", "b").join(a, "a").join(b, "b").where("pa <> pb")
     worse = F.col("pa") > F.col("pb")
     down = known.select(F.when(worse, F.col("a")).otherwise(F.col("b")).alias("u"), F.when(worse, F.col("b")).otherwise(F.col("a")).alias("v"), F.least("pa", "pb").alias("pv"))
-    down, n = kept(down.distinct())
-    left, lost = down.select("u", "v"), nodes.select("id").limit(0)
+    down, n = tables.keep(down.distinct())
+    left, lost, rounds = down.select("u", "v"), [], 0
+    stored: DataFrame | None = None
     while n:
-        # Nodes without an undecided better neighbour have won; those next to them lose.
-        top = left.select("v").distinct().join(left.select(F.col("u").alias("v")).distinct(), "v", "left_anti")
-        beaten = checkpointed(left.join(top, "v", "left_semi").select(F.col("u").alias("id")).distinct())
-        left = left.join(beaten.select(F.col("id").alias("u")), "u", "left_anti").join(beaten.select(F.col("id").alias("v")), "v", "left_anti")
-        (left, n), lost = kept(left), lost.unionByName(beaten)
-    won = checkpointed(nodes.select("id").join(lost, "id", "left_anti"))
+        rounds += 1
+        if rounds % (PLAIN + 1):
+            # Nodes without an undecided better neighbour have won; those next to them lose.
+            top = left.select("v").distinct().join(left.select(F.col("u").alias("v")).distinct(), "v", "left_anti")
+            beaten, k = tables.keep(_beaten(left, top))
+        else:
+            held = Scratch(nodes.sparkSession)
+            beaten, k = tables.keep(chained(left, held))
+            held.drop(*(df for _, df in held.paths.values()))
+        if k:
+            before = stored
+            stored, n = tables.keep(_without(left, beaten))
+            if before is not None:
+                tables.drop(before)
+            left = stored
+            lost.append(beaten)
+    out = reduce(DataFrame.unionByName, lost, nodes.select("id").limit(0))
+    won = checkpointed(nodes.select("id").join(out, "id", "left_anti"))
+    tables.drop(*lost, *([stored] if stored is not None else []))
     best = down.join(won.select(F.col("id").alias("v")), "v", "left_semi").groupBy("u").agg(F.min_by("v", "pv").alias("w"))
     best = best.join(won.select(F.col("id").alias("u")), "u", "left_anti")
     return won.select("id", F.col("id").alias("winner_id")).unionByName(best.select(F.col("u").alias("id"), F.col("w").alias("winner_id")))

@@ -20,6 +20,17 @@ MAX_SENT = 50_000
 MEMBERS = "entry_id string, motif string, row_id long, round int, is_reference boolean, seq string"
 
 
+def references(rows: DataFrame, keys: list[str], length: str, order: list[str], least: int = 1) -> DataFrame:
+    """The reference of each group of ``rows`` with ``least`` rows or more: keys, ``length`` (the upper median of the group's) and r, the first of its rows of that
+    length by ``order``. Lengths are counted first, so that what a window sees of a group is a row a length."""
+    lengths = rows.groupBy(*keys, length).agg(F.count(F.lit(1)).alias("_n"))
+    own = Window.partitionBy(*keys)
+    upto = F.sum("_n").over(own.orderBy(length).rowsBetween(Window.unboundedPreceding, 0))
+    middle = lengths.select(*keys, length, upto.alias("_upto"), F.sum("_n").over(own).alias("_size"))
+    middle = middle.where((F.col("_size") >= least) & (F.col("_upto") > F.floor(F.col("_size") / 2))).groupBy(*keys).agg(F.min(length).alias(length))
+    return rows.join(middle, [*keys, length]).groupBy(*keys, length).agg(F.min(F.struct(*order)).alias("r"))
+
+
 def peeled(loci: DataFrame, how: Peeling = Peeling(), parts: int | None = None) -> DataFrame:
     """MEMBERS: each clustered locus with its round and its turned sequence. ``loci``: entry_id, motif, row_id (file order), seq.
 
@@ -47,13 +58,9 @@ def peeled(loci: DataFrame, how: Peeling = Peeling(), parts: int | None = None)
             yield df[["entry_id", "motif", "row_id", "seq", "turned"]]
 
     for number in range(1, how.max_rounds + 1):
-        lengths = pool.groupBy(*KEY, F.length("seq").alias("len")).agg(F.count(F.lit(1)).alias("n"))
-        upto = Window.partitionBy(*KEY).orderBy("len").rowsBetween(Window.unboundedPreceding, 0)
-        size = F.sum("n").over(Window.partitionBy(*KEY))
-        middle = lengths.withColumn("upto", F.sum("n").over(upto)).withColumn("size", size).where(F.col("size") >= how.min_cluster_size)
-        middle = middle.where(F.col("upto") > F.floor(F.col("size") / 2)).groupBy(*KEY).agg(F.min("len").alias("len"))
-        at = pool.withColumn("len", F.length("seq")).join(middle, [*KEY, "len"])
-        refs, n_refs = kept(at.groupBy(*KEY).agg(F.min_by(F.struct("row_id", "seq"), "row_id").alias("r")).select(*KEY, F.col("r.row_id").alias("ref_id"), F.col("r.seq").alias("ref")))
+        sized = pool.withColumn("len", F.length("seq"))
+        picked = references(sized, KEY, "len", ["row_id", "seq"], how.min_cluster_size)
+        refs, n_refs = kept(picked.select(*KEY, F.col("r.row_id").alias("ref_id"), F.col("r.seq").alias("ref")))
         if not n_refs:
             break
         others = pool.join(F.broadcast(refs) if n_refs <= MAX_SENT else refs, KEY).where("row_id <> ref_id").select(*KEY, "row_id", "seq", "ref")

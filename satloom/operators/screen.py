@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from satloom.functions import exprs as X
@@ -21,14 +21,18 @@ def best_hits(hits: DataFrame) -> DataFrame:
     return hits.groupBy("query_label", "repeat_name").agg(best).select("h.*")
 
 
+def shares(true_length: Column) -> tuple[Column, Column]:
+    """How much of a label of ``true_length`` a hit covers, and how much of its repeat's model."""
+    span, model = F.col("query_end") - F.col("query_start") + 1, F.col("repeat_end") + F.col("repeat_left")
+    query = F.when(true_length > 0, F.least(span, true_length) / true_length).otherwise(0.0)
+    return query, F.when(model != 0, (F.col("repeat_end") - F.col("repeat_begin") + 1) / model).otherwise(0.0)
+
+
 def known_hits(labels: DataFrame, hits: DataFrame, doubled: bool = True) -> DataFrame:
     """Every label (label, length) with its best hit on each repeat, or one row of nulls; overlaps as shares of both sides."""
     true = F.when(F.lit(doubled), F.floor(F.col("length") / 2)).otherwise(F.col("length"))
     rows = labels.withColumn("true_length", true).join(best_hits(hits), F.col("label") == F.col("query_label"), "left")
-    span = F.col("query_end") - F.col("query_start") + 1
-    query = F.when(F.col("true_length") > 0, F.least(span, F.col("true_length")) / F.col("true_length")).otherwise(0.0)
-    model = F.col("repeat_end") + F.col("repeat_left")
-    known = F.when(model != 0, (F.col("repeat_end") - F.col("repeat_begin") + 1) / model).otherwise(0.0)
+    query, known = shares(F.col("true_length"))
     hit = F.col("query_label").isNotNull()
     return rows.select(
         "label", hit.alias("has_known_hit"), "repeat_name", "repeat_class_family", "sw_score", "pct_divergence", "pct_deleted", "pct_inserted",
@@ -56,10 +60,15 @@ def snapshot(library: DataFrame, folder: str) -> str:
     return digest
 
 
+DONE = "sample string, lib_sha256 string"
+
+
 def completed(spark: SparkSession, folder: str) -> DataFrame:
-    """(sample, lib_sha256) of the screens that are done."""
-    spark.sql("SELECT '' AS sample, '' AS lib_sha256 WHERE false").write.mode("append").parquet(f"{folder}/completed")
-    return spark.read.schema("sample string, lib_sha256 string").parquet(f"{folder}/completed")
+    """(sample, lib_sha256) of the screens that are done; reading writes nothing."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/completed")
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], DONE)
+    return spark.read.schema(DONE).parquet(f"{folder}/completed")
 
 
 def complete(samples: DataFrame, library_sha256: str, folder: str) -> None:

@@ -13,6 +13,7 @@ from satloom.functions import kernels as K
 from satloom.operators import bins, charts, families, intervals, mis, pairs, peeling, screen
 from satloom.params import Comparing, Peeling, Scan, Screening
 from satloom.plans.views import HIT_ROWS, table, view
+from satloom.shared import checkpointed
 from satloom.sources import text_formats as T
 
 #: Thresholds in the units of the stand-in relations (hundredths of copies).
@@ -75,13 +76,8 @@ def bin_weighted_quality(spark, d):
 def locus_reference_pick(spark, d):
     """The first locus of upper median array length of each entry and period."""
     rows = loci(spark, d).select("entry_id", "period", "source_seq", "start_pos", (F.col("end_pos") - F.col("start_pos")).alias("len"))
-    lengths = rows.groupBy("entry_id", "period", "len").agg(F.count(F.lit(1)).alias("n"))
-    own = Window.partitionBy("entry_id", "period")
-    upto = F.sum("n").over(own.orderBy("len").rowsBetween(Window.unboundedPreceding, 0))
-    middle = lengths.select("entry_id", "period", "len", upto.alias("upto"), F.sum("n").over(own).alias("size")).where("upto > floor(size / 2)")
-    middle = middle.groupBy("entry_id", "period").agg(F.min("len").alias("len"))
-    first = F.min(F.struct("start_pos", "source_seq")).alias("f")
-    return rows.join(middle, ["entry_id", "period", "len"]).groupBy("entry_id", "period", "len").agg(first).select("entry_id", "period", "len", "f.start_pos", "f.source_seq")
+    found = peeling.references(rows, ["entry_id", "period"], "len", ["start_pos", "source_seq"])
+    return found.select("entry_id", "period", "len", "r.start_pos", "r.source_seq")
 
 
 def likely(spark, d):
@@ -139,16 +135,15 @@ def label_left_join_hits(spark, d):
 def reciprocal_overlaps(spark, d):
     """C12 to C14 over all hit rows, each a label of its own."""
     hits = hit_rows(spark, d)
-    span, model = F.col("query_end") - F.col("query_start") + 1, F.col("repeat_end") + F.col("repeat_left")
-    q = F.least(span, F.lit(200)) / 200
-    r = F.when(model != 0, (F.col("repeat_end") - F.col("repeat_begin") + 1) / model).otherwise(0.0)
+    q, r = screen.shares(F.lit(200))
     six = lambda c: F.round(c, 6)
     return hits.select("query_label", "repeat_name", "sw_score", "strand", six(q).alias("pct_query"), six(r).alias("pct_known"), six(F.least(q, r)).alias("reciprocal"))
 
 
 def names(spark, d):
+    """Resolved and named clusters, stored: provenance, its check and the rows of the summary all read them."""
     own = view(spark, d, "clusters")
-    return families.named(families.resolve(own, view(spark, d, "edges"), "total_copy_number_d", ["cluster_uid"]), own)
+    return checkpointed(families.named(families.resolve(own, view(spark, d, "edges"), "total_copy_number_d", ["cluster_uid"]), own))
 
 
 @query

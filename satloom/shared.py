@@ -45,3 +45,24 @@ def kept(df: DataFrame) -> tuple[DataFrame, int]:
 
 def checkpointed(df: DataFrame) -> DataFrame:
     return kept(df)[0]
+
+
+class Scratch:
+    """Tables of an iteration in one folder: each is computed once, and goes when what was made of it is kept."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.at, self.paths = spark, folder(spark), {}
+
+    def keep(self, df: DataFrame) -> tuple[DataFrame, int]:
+        """``df`` as a table, and its number of rows."""
+        path, seen = f"{self.at}/{len(self.paths)}", Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+        found = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(found)] = (path, found)
+        return found, seen.get["n"]
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes ``tables`` (of keep); nothing that is still to be computed may read them."""
+        files = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.at).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        for df in tables:
+            files.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.paths[id(df)][0]), True)

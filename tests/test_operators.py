@@ -73,6 +73,25 @@ def test_independent_set_is_that_of_the_greedy(spark):
     assert mis.priority_mis(nodes.where("false"), mis.empty_edges(spark, "long")).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["path", "two ends", "comb", "tree"])
+def test_long_chains_take_few_rounds(spark, kind, monkeypatch):
+    n = 4000
+    rng = random.Random(n)
+    prio = {i: i for i in range(n)}
+    edges = [(i, i + 1) for i in range(n - 1)]
+    if kind == "two ends":
+        prio = {i: abs(2 * i - n) * 2 + (i > n // 2) for i in range(n)}
+    if kind == "comb":
+        edges = [(i, i + 2) for i in range(0, n - 2, 2)] + [(i, i + 1) for i in range(0, n, 2)]
+    if kind == "tree":
+        edges = [(rng.randrange(max(0, i - 3), i), i) for i in range(1, n)]
+    rounds = []
+    held = mis._without
+    monkeypatch.setattr(mis, "_without", lambda *a: rounds.append(1) or held(*a))
+    found = mis.priority_mis(spark.createDataFrame(list(prio.items()), "id long, prio long"), spark.createDataFrame(edges, "a long, b long"))
+    assert {r["id"]: r["winner_id"] for r in found.collect()} == greedy(prio, edges) and len(rounds) <= 6
+
+
 def test_merge_closes_gaps_up_to_the_distance(spark):
     own = spark.createDataFrame([("s", 10, 20, 200, 500.0), ("s", 2020, 2030, 200, 500.0), ("s", 4031, 4040, 200, 500.0), ("s", 1, 9, 100, 500.0)],
                                 "seqname string, start_pos long, end_pos long, period int, copy_number double")
