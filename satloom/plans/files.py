@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from satloom.functions import exprs as X
-from satloom.operators import charts, counters, families, peeling, screen
+from satloom.operators import charts, counters, families, peeling, screen, search
 from satloom.plans import queries as Q
 from satloom.plans.views import HIT_ROWS, ctes, table, view
 from satloom.plans.workflows import sharded
@@ -317,6 +317,22 @@ def screen_queries(spark, d):
     return screen.screen_queries(library(spark, d))
 
 
+@query(f"""WITH {_LIBRARY}, c AS (SELECT c_custkey, consensus FROM customer JOIN lib ON split_part(split_part(header, '_', 2), '#', 1) = CAST(c_custkey AS VARCHAR))
+ SELECT DISTINCT 'g' || c_custkey AS seqname, split_part(header, '#', 1) AS name, CASE WHEN c_custkey % 2 = 1 THEN '-' ELSE '+' END AS strand, true AS inside FROM c JOIN lib USING (consensus)""")
+def genome_search(spark, d):
+    """Which units of the library lie in sequences made of customers, each with one planted array on either strand, and whether they lie there alone."""
+    own = library(spark, d)
+    at = F.substring_index(F.substring_index("header", "#", 1), "_", -1).cast("long")
+    units = own.select(X.before_hash(F.col("header")).alias("label"), F.col("consensus").alias("seq"), at.alias("key"))
+    who = table(spark, d, "customer").select("c_custkey", F.col("c_custkey").alias("key"))
+    spacer = lambda tag: F.translate(F.concat(*(F.md5(F.concat_ws(":", F.lit(tag), F.col("c_custkey").cast("string"), F.lit(i))) for i in range(4))), "0123456789abcdef", "ACGTACGTACGTACGT")
+    array = F.repeat(F.when(F.col("c_custkey") % 2 == 1, X.revcomp(F.col("seq"))).otherwise(F.col("seq")), F.lit(8))
+    genomes = who.join(units, "key").select(F.concat(F.lit("g"), F.col("c_custkey").cast("string")).alias("seqname"), F.lit(0).cast("long").alias("start"), F.concat(spacer("a"), array, spacer("b")).alias("seq"))
+    found = search.search(units.select("label", "seq"), genomes)
+    # The array lies at 128 to 384; borders are those of tiles.
+    return found.groupBy("seqname", "name", "strand").agg(F.bool_and((F.col("start0") >= 0) & (F.col("end0") <= 480) & (F.col("end0") > 300)).alias("inside"))
+
+
 @query(f"WITH {_LIBRARY} SELECT sha256(string_agg(sha256(header || chr(10) || consensus), '' ORDER BY header)) AS lib_sha256 FROM lib")
 def library_digest(spark, d):
     return screen.library_digest(library(spark, d))

@@ -184,8 +184,9 @@ class ManifestError(ValueError):
 def manifest_rows(spark: SparkSession, path: str) -> DataFrame:
     """line_no and fields of the rows of a manifest: lines that are not blank, are no comments and stand below the first such line, the header."""
     own = numbered_lines(spark, [path]).where("trim(line) <> ''").select("line_no", "line")
-    head = own.agg(F.min("line_no").alias("head"))
-    return own.join(F.broadcast(head), F.col("line_no") > F.col("head")).where(~F.col("line").startswith("#")).select("line_no", F.split("line", "\t").alias("f"))
+    head = own.agg(F.min("line_no")).first()[0]
+    below = own.where(F.col("line_no") > F.lit(head).cast("long")) if head is not None else own
+    return below.where(~F.col("line").startswith("#")).select("line_no", F.split("line", "\t").alias("f"))
 
 
 def violations(rows: DataFrame) -> DataFrame:
