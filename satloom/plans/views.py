@@ -37,13 +37,14 @@ SELECT concat('ent', CAST(p_partkey % 4 AS STRING)) AS entry_id,
  CASE WHEN p_partkey % 4 < 2 THEN 'asmA' ELSE 'asmB' END AS assembly_method,
  concat('ent', CAST(p_partkey % 4 AS STRING), '__cand', CAST(150 + p_size AS STRING), '_p', CAST(p_partkey AS STRING)) AS cluster_uid,
  p_brand AS brand, CAST(150 + p_size AS INT) AS consensus_length,
- CAST(round(p_retailprice * 10) AS BIGINT) AS total_copy_number_d
+ CAST(round(p_retailprice * 10) AS BIGINT) AS total_copy_number_d, CAST(floor(p_partkey / 1000) AS BIGINT) AS block
 FROM part
 """
 
+#: Flagged pairs. Blocks bound a cluster's neighbours, so that there are as many edges as clusters, times a constant, at any scale.
 EDGES = """
 SELECT a.cluster_uid AS label_a, b.cluster_uid AS label_b FROM clusters a JOIN clusters b
- ON a.brand = b.brand AND abs(a.consensus_length - b.consensus_length) <= 3 AND a.cluster_uid < b.cluster_uid
+ ON a.brand = b.brand AND a.block = b.block AND abs(a.consensus_length - b.consensus_length) <= 3 AND a.cluster_uid < b.cluster_uid
 """
 
 
