@@ -81,6 +81,10 @@ def root_of(spark: SparkSession) -> str:
     return root
 
 
+#: Folders of shared_dir, in the order in which they were made, for callers that know when what is in them has been used (corpus_pipeline).
+MADE: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder in the shared one (root_of); it goes when the session's JVM ends."""
     folder = f"{root_of(spark).rstrip('/')}/satloom-{uuid.uuid4().hex}"
@@ -89,6 +93,7 @@ def shared_dir(spark: SparkSession) -> str:
     files = path.getFileSystem(context._jsc.hadoopConfiguration())
     files.mkdirs(path)
     files.deleteOnExit(path)
+    MADE.append(folder)
     return folder
 
 
