@@ -3,7 +3,7 @@
 Pass one scatters whole records by seeded hashes into buckets sized for memory, one to a task; pass two permutes each bucket by
 Fisher-Yates (Spark's ``shuffle`` of an array, which is that) and writes it. A shard is made of buckets one after another, so
 a slot is the bucket's offset in its shard plus the position in the bucket. What enters the hashes is a record's content and, where
-a record repeats very often, the number of the copy: never its place in the input, so that slots do not depend on the cluster.
+copies of a record are large beside a bucket, the number of the copy: never its place in the input, so that slots do not depend on the cluster.
 """
 
 from __future__ import annotations
@@ -18,10 +18,10 @@ from satloom.llm import common as C
 
 #: Offsets (24 bytes each) that are sent to every task at most; more of them are joined by a shuffle.
 MAX_SENT = 500_000
-#: A record that is more than one in so many rows is frequent: there are fewer than this of them.
-FREQUENT = 10_000
-#: Copies of a frequent record that are made in one go.
-COPIES = 10_000
+#: A record whose copies together fill more than this share of a bucket is frequent.
+FREQUENT = 1 / 16
+#: Copies of a frequent record, and bytes of them, that are made in one go.
+COPIES, COPIED_BYTES = 10_000, 8 << 20
 
 
 def rendezvous(key: Column, shards: int, seed: int) -> tuple[Column, Column]:
@@ -42,23 +42,24 @@ def _records(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, C.stored(keys, f"{C.shared_dir(docs.sparkSession)}/keys")
 
 
-def _copied(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """``rows`` with ``copy``: 0, but for rows of frequent keys 0 to n - 1 among equal ones.
+def _copied(rows: DataFrame, keys: DataFrame, most: float) -> DataFrame:
+    """``rows`` with ``copy``: 0, but for rows of frequent keys (more than ``most`` bytes of equal rows) 0 to n - 1 among equal ones.
 
     Equal rows may stand for each other. So those of a frequent key are first brought down to one (in partial aggregates) and then
     made again with their numbers, in many tasks. Other rows stay where they are.
     """
-    total = keys.agg(F.sum("n")).first()[0] or 0
-    often = keys.where(F.col("n") > max(1, total // FREQUENT)).select(F.col("doc_id").alias("k"), F.col("hash").alias("h"))
+    often = keys.where((F.col("n") > 1) & (F.col("bytes") > most)).select(F.col("doc_id").alias("k"), F.col("hash").alias("h"))
     plain = rows.withColumn("copy", F.lit(0).cast("long"))
-    if often.isEmpty():
+    n = often.count()
+    if not n:
         return plain
-    often = F.broadcast(often)  # fewer than FREQUENT rows
+    often = F.broadcast(often) if n <= MAX_SENT else often
     same = F.col("doc_id").eqNullSafe(F.col("k")) & (F.col("hash") == F.col("h"))
     texts = rows.join(often, same, "left_semi").groupBy("doc_id", "hash", "text").agg(F.count(F.lit(1)).alias("n"))
-    begun = texts.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(COPIES).cast("long"))))
+    texts = texts.withColumn("step", F.greatest(F.lit(1), F.least(F.lit(COPIES), F.floor(COPIED_BYTES / (F.octet_length(C.whole()) + 16)))).cast("long"))
+    begun = texts.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.col("step"))))
     begun = begun.repartition("doc_id", "hash", "from")
-    made = begun.withColumn("copy", F.explode(F.sequence(F.col("from"), F.least(F.col("n"), F.col("from") + COPIES) - 1)))
+    made = begun.withColumn("copy", F.explode(F.sequence(F.col("from"), F.least(F.col("n"), F.col("from") + F.col("step")) - 1)))
     return plain.join(often, same, "left_anti").unionByName(made.select(*plain.columns))
 
 
@@ -77,7 +78,7 @@ def shuffled_shards(docs: DataFrame, shards: int = 40, seed: int = 11, bucket_mb
     sizes = {r["shard"]: r["bytes"] for r in keys.groupBy(shard.alias("shard")).agg(F.sum("bytes").alias("bytes")).collect()}  # a row a shard
     counts = [max(1, math.ceil(sizes.get(s, 0) / (bucket_mb * (1 << 20)))) for s in range(shards)]
     first = list(itertools.accumulate(counts, initial=0))
-    rows = _copied(rows, keys).withColumns({"shard": shard, "grown_shard": grown})
+    rows = _copied(rows, keys, FREQUENT * bucket_mb * (1 << 20)).withColumns({"shard": shard, "grown_shard": grown})
     draw = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "hash", "copy"), F.get(F.lit(counts), F.col("shard"))).cast("int")
     rows = rows.withColumn("bucket", F.get(F.lit(first), F.col("shard")) + draw).select("shard", "bucket", "doc_id", "text", "grown_shard")
     # One bucket a task: its number and its sorted rows make the draws of Fisher-Yates the same in every run and every retry.

@@ -79,3 +79,31 @@ def test_copies_spread_over_the_buckets_of_their_shard(spark, tmp_path):
     assert S.shuffled_shards(docs, shards=4, bucket_mb=0.5, path=f"{tmp_path}/out").select("slot").distinct().count() == 60_000
     sizes = [r["count"] for r in spark.read.parquet(f"{tmp_path}/out").groupBy("bucket").count().collect()]
     assert len(sizes) == 12 and max(sizes) < 1.1 * 60_000 / 12
+
+
+def test_copies_that_are_few_but_large_spread_too(spark, tmp_path, monkeypatch):
+    """A hundred copies of 20 kB are fewer than one in ten thousand rows, and yet several buckets of text."""
+    small = spark.range(1_100_000).select(F.col("id").alias("doc_id"), F.lit("tiny").alias("text"))
+    large = spark.range(100).select(F.lit(-1).cast("long").alias("doc_id"), F.repeat(F.lit("long"), 5000).alias("text"))
+    found = []
+    for sent in (S.MAX_SENT, 0):
+        monkeypatch.setattr(S, "MAX_SENT", sent)
+        at = f"{tmp_path}/{sent}"
+        S.shuffled_shards(small.unionByName(large), shards=2, bucket_mb=0.5, path=at)
+        own = spark.read.parquet(at).where("doc_id = -1")
+        assert own.count() == 100 and own.where("length(text) = 20000").count() == 100
+        buckets = {r["bucket"]: r["count"] for r in own.groupBy("bucket").count().collect()}
+        assert len(buckets) > 10 and max(buckets.values()) < 25
+        found.append(buckets)
+    assert found[0] == found[1]
+
+
+def test_copies_of_texts_beyond_what_is_made_in_one_go(spark, monkeypatch):
+    monkeypatch.setattr(S, "COPIED_BYTES", 1000)
+    docs = spark.range(50).select(F.lit(7).cast("long").alias("doc_id"), F.repeat(F.lit("x"), 900).alias("text"))
+    docs = docs.unionByName(spark.range(70).select(F.lit(8).cast("long").alias("doc_id"), F.lit("y" * 300).alias("text")))
+    rows = S.shuffled_shards(docs, shards=2, bucket_mb=0.005).collect()
+    assert Counter((r["doc_id"], len(r["text"])) for r in rows) == {(7, 900): 50, (8, 300): 70}
+    for shard in {r["shard"] for r in rows}:
+        own = sorted(r["slot"] for r in rows if r["shard"] == shard)
+        assert own == list(range(len(own)))
