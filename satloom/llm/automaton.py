@@ -14,6 +14,10 @@ import numpy as np
 
 #: Lanes of text stepped together; below FEW of them each is finished by itself.
 FEW = 24
+#: Lanes are read in pieces of so many bytes, each begun in the state that the WARM bytes read before it lead to.
+LONG, WARM = 2048, 64
+#: Bytes of a loop after which the rest of it is looked up at once.
+LOOP = 32
 
 
 @dataclass
@@ -233,23 +237,46 @@ def compiled(rules: dict[str, tuple[str, bool]], backward: bool = False) -> Dfa:
 def starts(dfa: Dfa, data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Where in ``data`` matches of the backward automaton begin, in order, and the bits of their rules: one pass over the bytes.
 
-    Bytes after which every state is the first one again cut the data into lanes. A step takes a byte of each lane, from its end;
-    the last few of the longest go on alone.
+    Bytes after which every state is the first one again cut the data into lanes, and long lanes are cut into pieces. A step takes a byte
+    of each piece, from its end; the last few pieces go on alone. Pieces that were not begun in the state in which the one before ended
+    (few bytes tell it, nearly always) are read again from that state.
     """
     resets = (dfa.table == 0).all(axis=0)
     width = dfa.table.shape[1]
     flat = (dfa.table * width).astype(np.int32).reshape(-1)
     accept = np.repeat(dfa.accept, width)
+    any_accept, hop, mask = accept != 0, flat.tolist(), accept.tolist()
     codes = dfa.classes[np.frombuffer(data, np.uint8)]
     bounds = np.concatenate([[-1], np.flatnonzero(resets[codes]), [len(codes)]])
     lengths = np.diff(bounds) - 1
-    order = np.argsort(-lengths, kind="stable")
-    order = order[: int(np.count_nonzero(lengths))]
-    end, falling = bounds[1:][order] - 1, -lengths[order]
-    state = np.zeros(len(order), np.int32)
-    any_accept = accept != 0
+    pieces = -(-lengths // LONG)
+    lane = np.repeat(np.arange(len(lengths)), pieces)
+    nth = np.arange(len(lane)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    high = bounds[1:][lane] - 1 - nth * LONG
+    size = np.minimum(LONG, lengths[lane] - nth * LONG)
+    begun, later = np.zeros(len(lane), np.int32), np.flatnonzero(nth)
+    for i in range(WARM, 0, -1):
+        begun[later] = flat[begun[later] + codes[high[later] + i]]
+
     at: list[np.ndarray] = []
     bits: list[np.ndarray] = []
+    whose: list[np.ndarray] = []
+
+    def alone(s: int, piece: int, step: int) -> int:
+        """Reads the rest of ``piece`` after ``step`` bytes; the state in which it ends."""
+        first, found = int(high[piece]) - step, []
+        for i, c in enumerate(reversed(codes[int(high[piece] - size[piece]) + 1 : first + 1].tolist())):
+            s = hop[s + c]
+            if mask[s]:
+                found.append((first - i, mask[s]))
+        if found:
+            at.append(np.array([p for p, _ in found]))
+            bits.append(np.array([m for _, m in found]))
+            whose.append(np.full(len(found), piece))
+        return s
+
+    order = np.argsort(-size, kind="stable")
+    end, falling, state = high[order], -size[order], begun[order]
     step = 0
     while True:
         live = int(np.searchsorted(falling, -step, side="left"))
@@ -261,27 +288,33 @@ def starts(dfa: Dfa, data: bytes) -> tuple[np.ndarray, np.ndarray]:
         if len(seen):
             at.append(end[seen] - step)
             bits.append(accept[now[seen]])
+            whose.append(order[seen])
         step += 1
-    hop, mask = flat.tolist(), accept.tolist()
-    for lane in range(live):
-        s, low, high = int(state[lane]), int(end[lane] + falling[lane]), int(end[lane]) - step
-        found = []
-        for i, c in enumerate(reversed(codes[low + 1 : high + 1].tobytes())):
-            s = hop[s + c]
-            if mask[s]:
-                found.append((high - i, mask[s]))
-        if found:
-            at.append(np.array([p for p, _ in found]))
-            bits.append(np.array([m for _, m in found]))
+    for i in range(live):
+        state[i] = alone(int(state[i]), int(order[i]), step)
+    ended = np.empty_like(state)
+    ended[order] = state
+
+    wrong = later[begun[later] != ended[later - 1]].tolist()
+    again = np.zeros(len(lane), bool)
+    last = len(at)
+    for piece in wrong:
+        while piece < len(lane) and nth[piece] and begun[piece] != ended[piece - 1]:
+            begun[piece], again[piece] = ended[piece - 1], True
+            ended[piece] = alone(int(begun[piece]), piece, 0)
+            piece += 1
     if not at:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if wrong:
+        holds = [~again[w] if i < last else np.ones(len(w), bool) for i, w in enumerate(whose)]
+        at, bits = [x[h] for x, h in zip(at, holds, strict=True)], [x[h] for x, h in zip(bits, holds, strict=True)]
     where, which = np.concatenate(at), np.concatenate(bits)
     order = np.argsort(where, kind="stable")
     return where[order], which[order]
 
 
 class Walker:
-    """The forward automaton, walked from one place on."""
+    """The forward automaton, walked from one place on. What a state loops on is passed in whole arrays."""
 
     def __init__(self, dfa: Dfa) -> None:
         width = dfa.table.shape[1]
@@ -289,18 +322,34 @@ class Walker:
         self.classes, self.accept = dfa.classes.tolist(), np.repeat(dfa.accept, width).tolist()
         own = np.arange(len(dfa.table))[:, None]
         self.dead = {int(s) * width for s in np.flatnonzero((dfa.table == own).all(axis=1) & (dfa.accept == 0))}
+        self.stays = {int(s) * width: (dfa.table[s] == s)[dfa.classes] for s in np.flatnonzero((dfa.table == own).any(axis=1))}
+
+    def leaves(self, s: int, data: bytes, at: int) -> int:
+        """The first place from ``at`` on whose byte leads out of state ``s``."""
+        n = 4 * LOOP
+        while at < len(data):
+            stay = self.stays[s][np.frombuffer(data, np.uint8, min(n, len(data) - at), at)]
+            if not stay.all():
+                return at + int(np.argmin(stay))
+            at += len(stay)
+            n *= 2
+        return at
 
     def ends(self, data: bytes, begin: int, one: int, two: int) -> tuple[int, int]:
         """The last ends of matches of the rules with bits ``one`` and ``two`` that begin at ``begin``; -1 where there is none."""
-        s, last_one, last_two = 0, -1, -1
-        for i in range(begin, len(data)):
-            s = self.hop[s + self.classes[data[i]]]
+        s, last_one, last_two, i, same = 0, -1, -1, begin, 0
+        while i < len(data):
+            before, s = s, self.hop[s + self.classes[data[i]]]
             if s in self.dead:
                 break
+            i += 1
+            same = same + 1 if s == before else 0
+            if same == LOOP:
+                i, same = self.leaves(s, data, i), 0
             if self.accept[s] & one:
-                last_one = i + 1
+                last_one = i
             if self.accept[s] & two:
-                last_two = i + 1
+                last_two = i
         return last_one, last_two
 
 

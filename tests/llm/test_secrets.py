@@ -60,6 +60,18 @@ def test_backward_automaton_tells_where_matches_begin():
         assert list(zip(where.tolist(), bits.tolist(), strict=True)) == [(i, m) for i, m in want if m], text
 
 
+def test_pieces_that_begin_in_a_wrong_state_are_read_again(monkeypatch):
+    """Blanks after ':' or '=' are remembered however many there are, so that no few bytes tell the state."""
+    rng, scanner = random.Random(5), S.compiled()
+    parts = [" " * 7, " " * 300, "token", "passwd", ":", "=", "abcdefghijkl", "0123456789abcdef" * 9, "f" * 500, "7" * 99, "AKIA" + "Q" * 70, '"', "z", "\n", "é"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 40))) for _ in range(400)] + ["secret:" + " " * 5000 + "abcdefghijklm", " " * 5000, "token" + " " * 9000 + "=abcdefghijkl"]
+    want = [meant(t) for t in texts]
+    for long, warm, few, loop in ((2048, 64, 24, 32), (16, 4, 0, 2), (16, 16, 1000, 1), (50, 1, 3, 3), (7, 7, 24, 32)):
+        for name, value in (("LONG", long), ("WARM", warm), ("FEW", few), ("LOOP", loop)):
+            monkeypatch.setattr(A, name, value)
+        assert S.scan(scanner, [t.encode() for t in texts]) == want
+
+
 def test_minimal_automaton_has_no_equal_states():
     for backward in (False, True):
         dfa = A.compiled({"a": ("(a|b)c{2,3}", False), "b": ("[x-z]+1?", True)}, backward)
