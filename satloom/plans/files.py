@@ -31,12 +31,21 @@ def query(sql: str):
     return registered
 
 
+#: Lines that one task sorts and writes.
+LINES_A_PART = 500_000
+
+
 def rendered(lines: DataFrame, *order: str | Column) -> tuple[list[str], list[str]]:
-    """A text file for each ``file`` of ``lines`` (file, line and what ``order`` says): the files' names and paths, in order."""
+    """A folder of parts in order for each ``file`` of ``lines`` (file, line and what ``order`` says): the files' names and paths, in order.
+
+    Lines are ranged over tasks, so that no file is one task's sort; their number says how many.
+    """
     spark, at = lines.sparkSession, folder(lines.sparkSession)
-    lines.repartition("file").sortWithinPartitions("file", *order).select("file", F.col("line").alias("value")).write.mode("append").partitionBy("file").text(at)
-    paths = sorted(spark.read.text(at).inputFiles())
-    return [p.split("/file=")[1].split("/")[0] for p in paths], paths
+    n = -(-lines.count() // LINES_A_PART)
+    ranged = lines.repartitionByRange(max(n, 1), "file", *order).sortWithinPartitions("file", *order)
+    ranged.select("file", F.col("line").alias("value")).write.mode("append").partitionBy("file").text(at)
+    paths = sorted({p.rsplit("/", 1)[0] for p in spark.read.text(at).inputFiles()})
+    return [p.split("/file=")[1] for p in paths], paths
 
 
 def exported(spark: SparkSession, write: Callable[[str], None]) -> list[str]:
@@ -221,7 +230,8 @@ def table_round_trip(spark, d):
         F.col("c_custkey").alias("key"), F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("segment"), (F.col("c_custkey") % 3 == 0).alias("third"),
         F.array(F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")).alias("pair"),
     )
-    return T.tsv(spark, exported(spark, lambda at: sinks.write_tsv(rows, at, "key")), "key long, segment string, third string, pair string")
+    parts = exported(spark, lambda at: sinks.write_tsv(rows, at, "key"))
+    return T.tsv(spark, parts[0].rsplit("/", 1)[0], "key long, segment string, third string, pair string")
 
 
 def entries(spark, d) -> DataFrame:

@@ -22,6 +22,8 @@ from satloom.shared import kept
 LINES = "file_idx int, line_no long, line string, split string"
 #: Rows of a small table (one a split) that are sent to every task at most; more are joined by a shuffle.
 MAX_SENT = 50_000
+#: What the parts of one file lie apart in line_no: more than any part has bytes.
+PART = 1 << 40
 
 
 def _same(path: str) -> str:
@@ -34,6 +36,13 @@ def _qualified(spark: SparkSession, path: str) -> str:
     return _same(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(where).toUri().toString())
 
 
+def parts(spark: SparkSession, path: str) -> list[str]:
+    """The files of a folder in the order of their names; a file is its own only part."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(spark.read.text(path).inputFiles()) if files.exists(where) and files.getFileStatus(where).isDirectory() else [path]
+
+
 def _runs(*columns: np.ndarray) -> list[tuple[int, int]]:
     """The stretches of rows in which all columns stay the same."""
     n = len(columns[0])
@@ -45,15 +54,16 @@ def _runs(*columns: np.ndarray) -> list[tuple[int, int]]:
 
 
 def numbered_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """LINES of the files in ``paths``: file_idx is a path's place, line_no rises along a file from 0 on.
+    """LINES of the files in ``paths``: file_idx is a path's place, line_no rises along a file from 0 on. A folder is one file, its parts one after another.
 
     line_no is where the line's split starts plus its place in the split: no two lines of a file share it, since each has a byte at least, but numbers are left
-    out where a split begins (``counted`` closes them). split names the split, by its start and length.
+    out where a split begins (``counted`` closes them). A part starts PART above the one before. split names the split, by its start and length.
     """
     if not paths:
         return spark.createDataFrame([], LINES)
-    place = {_qualified(spark, p): i for i, p in enumerate(paths)}
-    raw = spark.read.option("lineSep", "\n").text(list(dict.fromkeys(paths)))
+    files = [(i, n, f) for i, p in enumerate(paths) for n, f in enumerate(parts(spark, p))]
+    place = {_qualified(spark, f): (i, n * PART) for i, n, f in files}
+    raw = spark.read.option("lineSep", "\n").text(list(dict.fromkeys(f for _, _, f in files)))
     at = F.col("_metadata")
     raw = raw.select(at["file_path"].alias("path"), at["file_block_start"].alias("start"), at["file_block_length"].alias("size"), F.regexp_replace("value", "\r+$", "").alias("line"))
 
@@ -61,9 +71,9 @@ def numbered_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         of, seen = None, 0
         for batch in batches:
             codes = pc.dictionary_encode(batch.column("path"))
-            names = [place[_same(p)] for p in codes.dictionary.to_pylist()]
-            file_idx = np.array(names, np.int32)[codes.indices.to_numpy()]
-            start, size = batch.column("start").to_numpy(), batch.column("size").to_numpy()
+            names, own = [place[_same(p)] for p in codes.dictionary.to_pylist()], codes.indices.to_numpy()
+            file_idx, above = np.array([i for i, _ in names], np.int32)[own], np.array([n for _, n in names], np.int64)[own]
+            start, size = batch.column("start").to_numpy() + above, batch.column("size").to_numpy()
             number = np.empty(len(start), np.int64)
             split: list[str] = []
             for a, b in _runs(file_idx, start):

@@ -173,8 +173,11 @@ def bed(spark: SparkSession, paths: Sequence[str], family: str | None = None) ->
 
 
 def tsv(spark: SparkSession, paths: Sequence[str] | str, schema: str) -> DataFrame:
-    """Tables with a header line, ``NA`` for null."""
-    return spark.read.csv(paths, sep="\t", header=True, schema=schema, nullValue="NA")
+    """Tables with a header line, ``NA`` for null. Each of ``paths`` is a table: a file, or the folder of an export, of whose parts the first alone has a header."""
+    own = numbered_lines(spark, [paths] if isinstance(paths, str) else paths).where("trim(line) <> ''")
+    heads, n = kept(own.groupBy("file_idx").agg(F.min("line_no").alias("head")))
+    rows = own.join(F.broadcast(heads) if n <= L.MAX_SENT else heads, "file_idx").where(F.col("line_no") > F.col("head"))
+    return rows.select(F.from_csv("line", schema, {"sep": "\t", "nullValue": "NA"}).alias("r")).select("r.*")
 
 
 class ManifestError(ValueError):
