@@ -13,11 +13,9 @@ from pyspark.sql import functions as F
 from satloom.functions import exprs as X
 from satloom.functions import kernels as K
 from satloom.params import Peeling
-from satloom.shared import checkpointed, kept
+from satloom.shared import MAX_SENT, checkpointed, kept
 
 KEY = ["entry_id", "motif"]
-#: References (one sequence each) that are sent to every task at most.
-MAX_SENT = 50_000
 #: Of seq.
 DIGEST = "unhex(sha2(seq, 256))"
 MEASURES = ["copy_number", "percent_match", "entropy"]
