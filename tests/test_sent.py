@@ -19,8 +19,8 @@ def test_only_few_rows_are_sent(spark, monkeypatch):
     assert "BroadcastHashJoin" not in _plan(rows.join(shared.sent(rows.where("k < 5")), "k"))
 
 
-def test_clusters_are_never_sent(spark):
-    """Both tables are small enough in files for the planner to send the one of a row a cluster."""
+def test_clusters_are_merged_with_their_names(spark):
+    """This holds for the code before shared.sent as well: what it guards are the rows."""
     own = spark.range(2000).select(
         F.concat(F.lit("c"), "id").alias("cluster_uid"), F.concat(F.lit("e"), F.col("id") % 3).alias("entry_id"), (F.col("id") * 7 % 50).alias("n"),
         F.concat(F.lit("k"), F.col("id") % 40).alias("kind"), F.lit(171).alias("consensus_length"), F.lit("i").alias("individual"), F.lit("m").alias("assembly_method"),
