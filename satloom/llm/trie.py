@@ -76,11 +76,12 @@ def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def prefixes(convs: DataFrame, turns: DataFrame) -> DataFrame:
     """PREFIX of every conversation in ``convs`` (conv_id, once each). ``turns``: conv_id, part and pos (their order), item, chars.
 
-    A conversation's turns stream through one task in order; of all it has read the task holds one row.
+    A conversation's turns stream through one task in order; of all it has read the task holds one row. They are dealt by a hash of conv_id: dealing by conv_id
+    itself is left out where the parts of the union turn out to lie by it already, and then each part is cut into tasks for itself.
     """
     heads = convs.select("conv_id", F.lit(0).alias("part"), F.lit(0).cast("long").alias("pos"), F.lit(None).cast("binary").alias("item"), F.lit(0).cast("long").alias("chars"))
     rows = heads.unionByName(turns.select("conv_id", "part", "pos", "item", "chars"))
-    rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "part", "pos")
+    rows = rows.repartition(F.xxhash64("conv_id")).sortWithinPartitions("conv_id", "part", "pos")
     return rows.select("conv_id", "item", "chars").mapInArrow(_chained, PREFIX)
 
 

@@ -58,6 +58,29 @@ def test_many_copies_of_one_conversation(spark, tmp_path):
     assert found(spark, tmp_path, rows) == brute(rows)
 
 
+@pytest.fixture
+def cut_small(spark):
+    """Tables of a few KB meet as those of many MB do: a table is sent to the tasks where it turns out small, and small parts are read together."""
+    own = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.autoBroadcastJoinThreshold": "5k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    before = {k: spark.conf.get(k) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_turns_of_a_conversation_meet_whatever_the_planner_sends_or_merges(spark, tmp_path, cut_small):
+    rows = [(c, t, "user", f"said {c % 7} {t}") for c in range(600) for t in range(5)]
+    assert found(spark, tmp_path, rows) == brute(rows)
+
+
 def test_no_conversations(spark, tmp_path):
     assert found(spark, tmp_path, []) == []
     with pytest.raises(TypeError):
